@@ -99,3 +99,10 @@ def grid_code(lon: Column, lat: Column) -> Column:
         return F.when(F.abs(cell) < 0.01, F.abs(cell)).otherwise(cell)
 
     return F.format_string("lon:%+07.2f_lat:%+07.2f", snap(lon), snap(lat))
+
+
+def json_string(parsed: Column, path: str) -> Column:
+    """Text at a path of a parsed JSON value; null if there is something other than text."""
+    found = F.try_variant_get(parsed, path, "variant")
+    is_text = F.schema_of_variant(found) == "STRING"
+    return F.when(is_text, F.try_variant_get(parsed, path, "string"))

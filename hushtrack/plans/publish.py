@@ -12,7 +12,7 @@ from hushtrack.functions import text, units
 from hushtrack.functions.cells import cell
 from hushtrack.functions.time import MICROS_PER_DAY, as_date, instant_micros, micros
 from hushtrack.operators.regions import points_in_regions, regions_by_layer
-from hushtrack.schemas import EVENT, PORT_EVENT_INFO
+from hushtrack.schemas import EVENT
 from hushtrack.sources.messages import in_days
 from hushtrack.sources.tables import EventsTable, conform
 
@@ -61,11 +61,15 @@ def usable_voyages(voyages: DataFrame) -> DataFrame:
 
 def visits(port_visits: DataFrame) -> DataFrame:
     """Port visits with their visit id and intermediate anchorage."""
-    anchorage = F.from_json("event_info", PORT_EVENT_INFO)["intermediate_anchorage"]
-    return port_visits.select(
+    parsed = port_visits.withColumn("_info", F.try_parse_json("event_info"))
+    anchorage = [
+        text.json_string(F.col("_info"), f"$.intermediate_anchorage.{name}").alias(name)
+        for name in ("id", "flag", "name")
+    ]
+    return parsed.select(
         F.get_json_object("event_info", "$.visit_id").alias("_visit_id"),
         F.col("event_id").alias("_port_event_id"),
-        anchorage.alias("_anchorage"),
+        F.struct(*anchorage).alias("_anchorage"),
     )
 
 
@@ -94,18 +98,25 @@ def with_vessels(gaps: DataFrame, segments: DataFrame, vessels: DataFrame) -> Da
     )
 
 
+def gap_start_span(
+    gaps: DataFrame, start_date: date | str | None, end_date: date | str | None
+) -> tuple[int, int]:
+    """Range of instants in which published gaps start: the requested days, or what is there."""
+    if start_date is not None and end_date is not None:
+        return instant_micros(as_date(start_date)), instant_micros(as_date(end_date))
+    span = gaps.agg(F.min(micros("start_timestamp")), F.max(micros("start_timestamp"))).first()
+    return (0, 0) if span[0] is None else (span[0], span[1])
+
+
 def with_voyages(
-    gaps: DataFrame,
-    voyages: DataFrame,
-    start_date: date | str | None,
-    bucket_days: int = 7,
+    gaps: DataFrame, voyages: DataFrame, span_us: tuple[int, int], bucket_days: int = 7
 ) -> DataFrame:
     """Add the voyages under way during each gap: started before it and ended after it.
 
     A join on the vessel alone would compare every gap of a vessel with every voyage of it. A
     voyage that encloses a gap covers the bucket of time in which the gap starts, so voyages are
-    spread over their buckets and the bucket is part of the key. A voyage without a start is
-    spread from the first gap on.
+    spread over the buckets they share with ``span_us`` and the bucket is part of the key. A
+    voyage without a start is spread from the beginning of the span.
     """
     width = bucket_days * MICROS_PER_DAY
 
@@ -113,13 +124,7 @@ def with_voyages(
         return F.floor((us - F.pmod(us, F.lit(width))) / F.lit(width))
 
     gaps = gaps.withColumn("_bucket", bucket(micros("start_timestamp")))
-    if start_date is None:
-        span = gaps.agg(F.min("_bucket"), F.max("_bucket")).first()
-        first, last = (0, -1) if span[0] is None else span
-    else:
-        first = instant_micros(as_date(start_date)) // width
-        last = gaps.agg(F.max("_bucket")).first()[0]
-        last = first - 1 if last is None else last
+    first, last = (us // width for us in span_us)
     since = F.greatest(F.coalesce(bucket(micros("trip_start")), F.lit(first)), F.lit(first))
     until = F.least(bucket(micros("trip_end")), F.lit(last))
     covered = F.when(since <= until, F.sequence(since, until))
@@ -254,7 +259,8 @@ def enriched_gaps(
     gaps = gaps_to_publish(inputs.gaps, start_date, end_date, include_open)
     segments = segments_of_vessels(inputs.segment_info, inputs.segs_activity)
     enriched = with_vessels(gaps, segments, inputs.vessels_byyear)
-    enriched = with_voyages(enriched, usable_voyages(inputs.voyages), start_date)
+    span_us = gap_start_span(inputs.gaps, start_date, end_date)
+    enriched = with_voyages(enriched, usable_voyages(inputs.voyages), span_us)
     return with_port_visits(enriched, visits(inputs.port_visits))
 
 

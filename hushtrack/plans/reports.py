@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hushtrack.functions.text import grid_code
@@ -29,9 +29,9 @@ def monthly_difference(filtered: DataFrame, unfiltered: DataFrame) -> DataFrame:
     both = a.join(b, "month").withColumn(
         "difference", F.abs(F.col("gaps_filtered") - F.col("gaps_unfiltered"))
     )
-    average = both.agg(F.round(F.avg("difference")).cast("bigint").alias("average_difference"))
-    # One row, the result of a global aggregate.
-    return both.crossJoin(F.broadcast(average))
+    # One row per month by now, so one partition is enough for the average.
+    average = F.round(F.avg("difference").over(Window.partitionBy())).cast("bigint")
+    return both.withColumn("average_difference", average)
 
 
 def gaps_per_flag(gaps_with_flag: DataFrame) -> DataFrame:

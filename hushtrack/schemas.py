@@ -112,16 +112,6 @@ EVENT = T.StructType(
     ]
 )
 
-# Published JSON: fields read from a port visit's event_info.
-PORT_EVENT_INFO = T.StructType(
-    [
-        T.StructField(
-            "intermediate_anchorage",
-            T.StructType([T.StructField(n, _STR) for n in ("id", "flag", "name")]),
-        )
-    ]
-)
-
 RING = T.ArrayType(T.StructType([T.StructField("lon", _DBL), T.StructField("lat", _DBL)]))
 
 REGION = T.StructType(
