@@ -199,11 +199,8 @@ def gaps_nested(spark, sf_dir):
 @query("gap_ids", sql.with_cte(sql.MESSAGES, body=f"SELECT msgid, {sql.gap_id()} AS gap_id FROM messages"))
 def gap_ids(spark, sf_dir):
     """Identifier of the gap that each message would start."""
-    from hushtrack.functions.time import micros
-
-    return _messages(spark, sf_dir).select(
-        "msgid", text.gap_id(F.col("ssvid"), micros("timestamp"), F.col("lat"), F.col("lon")).alias("gap_id")
-    )
+    identifier = text.gap_id("ssvid", "unix_micros(timestamp)", "lat", "lon")
+    return _messages(spark, sf_dir).selectExpr("msgid", f"{identifier} as gap_id")
 
 
 @query(

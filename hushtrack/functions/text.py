@@ -16,46 +16,34 @@ from pyspark.sql import types as T
 from hushtrack.functions.time import MICROS_PER_SECOND, micros
 
 
-def epoch_seconds_text(us: Column) -> Column:
+# The expressions below take SQL text rather than Columns: each is one parsed expression, where
+# composing it from functions would cost dozens of calls into the JVM per use.
+
+
+def epoch_seconds_text(us: str) -> str:
     """``1704412120.0``, ``1704067207.179575``: seconds with the fraction's zeros trimmed."""
-    size = F.abs(us)
-    micros_part = F.pmod(size, F.lit(MICROS_PER_SECOND))
-    seconds = ((size - micros_part) / F.lit(MICROS_PER_SECOND)).cast("bigint")
-    fraction = F.rtrim(F.lpad(micros_part.cast("string"), 6, "0"), F.lit("0"))
-    return F.concat(
-        F.when(us < 0, F.lit("-")).otherwise(F.lit("")),
-        seconds.cast("string"),
-        F.lit("."),
-        F.when(fraction == "", F.lit("0")).otherwise(fraction),
+    fraction = f"rtrim('0', lpad(cast(abs({us}) % {MICROS_PER_SECOND} as string), 6, '0'))"
+    return (
+        f"concat(if({us} < 0, '-', ''), abs({us}) div {MICROS_PER_SECOND}, '.', "
+        f"if({fraction} = '', '0', {fraction}))"
     )
 
 
-def degrees_text(value: Column) -> Column:
+def degrees_text(value: str) -> str:
     """Shortest decimal text of a coordinate; null and zero both print as ``0.0``."""
-    plain = value.cast("string")
-    mantissa = F.element_at(F.split(plain, "E"), 1)
-    exponent = F.abs(F.element_at(F.split(plain, "E"), -1).try_cast("int"))
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"[-.]", "")
-    return (
-        F.when(value.isNull() | (value == 0.0), F.lit("0.0"))
-        .when(F.abs(value) >= 1e-3, plain)
-        .when(F.abs(value) >= 1e-4, F.concat(sign, F.lit("0.000"), digits))
-        .otherwise(
-            F.concat(
-                F.regexp_replace(mantissa, r"\.0$", ""),
-                F.lit("e-"),
-                F.lpad(exponent.cast("string"), 2, "0"),
-            )
-        )
-    )
+    plain = f"cast({value} as string)"
+    mantissa = f"regexp_replace(substring_index({plain}, 'E', 1), '[.]0$', '')"
+    exponent = f"lpad(substring_index({plain}, 'E-', -1), 2, '0')"
+    return f"""case when {value} is null or {value} = 0.0d then '0.0'
+        when abs({value}) >= 1e-3d then {plain}
+        when abs({value}) >= 1e-4d
+        then concat(if({value} < 0, '-', ''), '0.000', regexp_replace({mantissa}, '[-.]', ''))
+        else concat({mantissa}, 'e-', {exponent}) end"""
 
 
-def gap_id(ssvid: Column, us: Column, lat: Column, lon: Column) -> Column:
+def gap_id(ssvid: str, us: str, lat: str, lon: str) -> str:
     """Identifier of a gap: digest of the message that starts it."""
-    return F.md5(
-        F.concat_ws("|", ssvid, epoch_seconds_text(us), degrees_text(lat), degrees_text(lon))
-    )
+    return f"md5(concat_ws('|', {ssvid}, {epoch_seconds_text(us)}, {degrees_text(lat)}, {degrees_text(lon)}))"
 
 
 def instant_text(ts: Column) -> Column:

@@ -51,11 +51,6 @@ def instant(value: date | datetime | str) -> Column:
     return F.timestamp_micros(F.lit(instant_micros(value)))
 
 
-def next_midnight_micros(us: Column) -> Column:
-    """First UTC midnight after the day that holds the instant."""
-    return us - F.pmod(us, F.lit(MICROS_PER_DAY)) + F.lit(MICROS_PER_DAY)
-
-
 def epoch_seconds(ts: Column | str) -> Column:
     """Float seconds since the epoch, for sinks that exchange numbers."""
     return micros(ts) / F.lit(float(MICROS_PER_SECOND))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hushtrack.functions.time import MICROS_PER_HOUR
-
 METERS_PER_NAUTICAL_MILE = 1852.0
 
 # Regional fisheries bodies whose authorisations are taken into account.
@@ -23,10 +21,6 @@ def ais_class(message_type: Column) -> Column:
     )
 
 
-def duration_hours(off_us: Column, on_us: Column) -> Column:
-    return (on_us - off_us) / F.lit(float(MICROS_PER_HOUR))
-
-
 def implied_speed_knots(distance_m: Column, duration_h: Column) -> Column:
     """Null when the distance is unknown or the duration is zero."""
     return F.when(duration_h != 0.0, distance_m / duration_h / F.lit(METERS_PER_NAUTICAL_MILE))

@@ -14,6 +14,7 @@ from hushtrack.functions import text, units
 from hushtrack.functions.geodesic import distance_m
 from hushtrack.functions.time import (
     MICROS_PER_DAY,
+    MICROS_PER_HOUR,
     hours_to_micros,
     instant,
     instant_micros,
@@ -197,54 +198,48 @@ def create_gaps(
     """Gap records from filled silences, and from open gaps that close."""
     keys = list(settings.keys)
     fields = [c for c in tracks.columns if c not in ("_us", "ssvid")]
-    closes = F.lit(False)
-    base: dict[str, Column] = {}
+    base: list[str] = []
+    closes = "false"
     if picked is not None:
-        filled = filled.join(picked, keys, "left").where(~F.col("is_first") | F.col("_gap").isNotNull())
-        closes = F.col("is_first")
-        base = {c: F.col("_gap")[c] for c in filled.schema["_gap"].dataType.names}
-
-    def own(name: str, value: Column) -> Column:
-        """The value of a new gap; an open gap that closes keeps its own."""
-        if picked is None:
-            return value
-        kept = base.get(name, F.lit(None))
-        return F.when(closes, kept).otherwise(value)
+        filled = filled.join(picked, keys, "left").where("not is_first or _gap is not null")
+        base = filled.schema["_gap"].dataType.names
+        closes = "is_first"
 
     columns = {
-        "gap_id": own(
-            "gap_id",
-            text.gap_id(F.col("off.ssvid"), F.col("off_us"), F.col("off.lat"), F.col("off.lon")),
-        ),
-        "ssvid": own("ssvid", F.col("off.ssvid")),
-        **{name: own(name, F.col(c)) for c, name in _COUNT_OF.items()},
-        **{f"start_{c}": own(f"start_{c}", F.col("off")[c]) for c in fields},
-        **{f"end_{c}": F.col("on")[c] for c in fields},
+        "gap_id": text.gap_id("off.ssvid", "off_us", "off.lat", "off.lon"),
+        "ssvid": "off.ssvid",
+        **{name: c for c, name in _COUNT_OF.items()},
+        **{f"start_{c}": f"off.`{c}`" for c in fields},
     }
-    extras = {c: F.when(closes, v) for c, v in base.items() if c not in columns and c not in _COMPUTED}
-    gaps = filled.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        closes.alias("_closes"),
+    if picked is not None:  # an open gap that closes keeps its own values
+        kept = {c: f"_gap.`{c}`" if c in base else "null" for c in columns}
+        columns = {c: f"if(is_first, {kept[c]}, {v})" for c, v in columns.items()}
+        extras = [c for c in base if c not in columns and c not in _COMPUTED and not c.startswith("end_")]
+        extras += [c for c in base if c.startswith("end_") and c.removeprefix("end_") not in fields]
+        columns |= {c: f"if(is_first, _gap.`{c}`, null)" for c in extras}
+    columns |= {f"end_{c}": f"on.`{c}`" for c in fields}
+    gaps = filled.selectExpr(
+        *[f"`{k}` as `_key_{k}`" for k in keys],
+        f"{closes} as _closes",
         "on_us",
-        *[v.alias(n) for n, v in columns.items()],
-        *[v.alias(n) for n, v in extras.items()],
+        *[f"{v} as `{n}`" for n, v in columns.items()],
     )
     if picked is not None:
         # Both come from one track, whose rows are already together, and share at most a few ids.
-        same = Window.partitionBy(*[f"_key_{k}" for k in keys], "gap_id").orderBy("_closes")
-        gaps = gaps.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").drop("_rank")
-
-    distance = distance_m(*(F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")))
-    duration = units.duration_hours(micros("start_timestamp"), F.col("on_us"))
-    gaps = (
-        gaps.withColumn("distance_m", distance)
-        .withColumn("duration_h", duration)
-        .withColumn(
-            "implied_speed_knots",
-            units.implied_speed_knots(F.col("distance_m"), F.col("duration_h")),
-        )
-        .withColumn("version", F.lit(whole_second(settings.version)).cast("timestamp"))
-        .withColumn("is_closed", F.col("on_us").isNotNull())
+        same = ", ".join([*[f"`_key_{k}`" for k in keys], "gap_id"])
+        rank = f"row_number() over (partition by {same} order by _closes) as _rank"
+        gaps = gaps.selectExpr("*", rank).where("_rank = 1")
+
+    ends = [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
+    hours = f"(on_us - unix_micros(start_timestamp)) / {MICROS_PER_HOUR}.0d"
+    speed = units.implied_speed_knots(F.col("distance_m"), F.col("duration_h"))
+    version = F.lit(whole_second(settings.version)).cast("timestamp")
+    gaps = gaps.withColumns({"distance_m": distance_m(*ends), "duration_h": F.expr(hours)}).withColumns(
+        {
+            "implied_speed_knots": speed,
+            "version": version,
+            "is_closed": F.col("on_us").isNotNull(),
+        }
     )
     if settings.normalize_output:
         return gaps.select(*_column_order(gaps.columns))

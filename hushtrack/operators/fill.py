@@ -10,51 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hushtrack.operators.joins import Limits, sized_join
-from hushtrack.operators.slots import COUNTS, Rules, receiver_counts
+from hushtrack.operators.slots import COUNTS, Rules, quoted
 from hushtrack.schemas import RECEIVER_TYPES, TIE_BREAK
 
-_OFF, _EDGE, _ON, _FIRST = "off", "edge", "on", "first"
-
 # Each silence makes at most this many requests.
 REQUESTS_PER_SILENCE = 4
 
 
 def requests(found: DataFrame, rules: Rules, keys: Sequence[str]) -> DataFrame:
-    """One row per silence and slot that must be looked at again."""
-    lacking = F.lit(None).cast("bigint")
-
-    def request(role, slot, gap, first_us, last_us, when) -> Column:
-        return F.when(
-            when,
-            F.struct(
-                F.lit(role).alias("_role"),
-                slot.alias("_slot"),
-                gap.alias("_gap"),
-                first_us.alias("_from"),
-                last_us.alias("_to"),
-            ),
-        )
+    """One row per silence and slot that must be looked at again.
 
-    hi, lo, slot = F.col("_hi"), F.col("_lo"), F.col("_slot")
-    is_gap = F.col("_is_pair") | F.col("_is_open")
-    edge_slot = slot - F.lit(rules.grid.reach)
-    edge_end = hi - F.lit(rules.look_back_us) + F.lit(rules.grid.width)
-    wanted = F.array(
-        request(_OFF, slot, hi, hi - F.lit(rules.look_back_us), hi, is_gap),
-        request(_EDGE, edge_slot, hi, F.col("_edge_from"), edge_end, is_gap & F.col("_edge_from").isNotNull()),
-        request(_ON, F.col("_next_slot"), hi, F.col("_next_lo"), F.col("_next_lo"), F.col("_is_pair")),
-        request(_FIRST, slot, lo, lo, lo, F.col("_is_first")),
+    ``_gap`` identifies the silence of a key, ``_from`` and ``_to`` bound the wanted instants.
+    """
+    start = f"_hi - {rules.look_back_us}L"
+    far_slot = f"_slot - {rules.grid.reach}L"
+    far_end = f"{start} + {rules.grid.width}L"
+    wanted = f"""explode(array_compact(array(
+        if(_is_pair or _is_open, struct('off' as _role, _slot as _slot, _hi as _gap, {start} as _from, _hi as _to), null),
+        if((_is_pair or _is_open) and _edge_from is not null,
+           struct('edge' as _role, {far_slot} as _slot, _hi as _gap, _edge_from as _from, {far_end} as _to), null),
+        if(_is_pair, struct('on' as _role, _next_slot as _slot, _hi as _gap, _next_lo as _from, _next_lo as _to), null),
+        if(_is_first, struct('first' as _role, _slot as _slot, _lo as _gap, _lo as _from, _lo as _to), null)
+    ))) as _r"""
+    base = [f"{c} as _base{c}" for c in COUNTS]
+    on = "if(_is_pair, _next_lo, null) as _on"
+    return found.selectExpr(*quoted(keys), on, *base, wanted).selectExpr(
+        *quoted(keys), "_on", *[f"_base{c}" for c in COUNTS], "_r.*"
     )
-    return found.select(
-        *keys,
-        F.when(F.col("_is_pair"), F.col("_next_lo")).otherwise(lacking).alias("_on"),
-        *COUNTS,
-        F.explode(F.array_compact(wanted)).alias("_r"),
-    ).select(*keys, "_on", *[F.col(c).alias(f"_base{c}") for c in COUNTS], "_r.*")
 
 
 def fill(
@@ -70,56 +56,66 @@ def fill(
     Columns: the keys, ``off`` and ``on`` (whole messages), their instants, the counts, and
     ``is_first`` for rows that only carry the first message of the range (in ``on``).
     """
-    keys = list(keys)
-    payload = [c for c in messages.columns if c != "_us"]
-    ties = [c for c in TIE_BREAK if c in payload]
-    # Ordered by the tie-break first and by the rest of the message last, so that the choice
-    # among messages of one instant never depends on how the data is partitioned.
-    ranked = F.struct(
-        F.struct(*ties, F.lit(0).alias("_")).alias("rank"), F.struct(*payload).alias("message")
-    )
-
-    role, us, gap = F.col("_role"), F.col("_us"), F.col("_gap")
+    ties = [c for c in TIE_BREAK if c in messages.columns]
+    payload = ties + [c for c in messages.columns if c not in ("_us", *ties)]
     hits = sized_join(
-        messages.withColumn("_slot", rules.grid.slot(us)),
+        messages.selectExpr("*", f"{rules.grid.slot()} as _slot"),
         requests(found, rules, keys),
         [*keys, "_slot"],
-        us.between(F.col("_from"), F.col("_to")),
+        F.expr("_us between _from and _to"),
         found_rows * REQUESTS_PER_SILENCE,
         limits,
     )
-    # Keep whole messages only where one is asked for: rows that just count stay narrow.
-    is_off = (role == _OFF) & (us == gap)
-    is_on = role.isin(_ON, _FIRST)
-    counted = ((role == _OFF) & (us < gap)) | (role == _EDGE)
-    narrow = hits.select(
-        *keys,
-        "_gap",
-        (role == _FIRST).alias("_is_first"),
-        "_on",
-        "receiver_type",
-        counted.alias("_counted"),
-        F.when(is_off, ranked).alias("_off_message"),
-        F.when(is_on, ranked).alias("_on_message"),
-        *[f"_base{c}" for c in COUNTS],
+    return _records(_answers(hits, keys, payload), keys)
+
+
+def _answers(hits: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
+    """Combine equal answers before they are compared.
+
+    A whole message is kept only where one was asked for. Messages that merely count become equal
+    rows, and so do copies of one message, so a hash aggregate with map-side combine leaves a few
+    rows per silence, whatever the number of messages in its slots.
+    """
+    counts = "(_role = 'off' and _us < _gap) or _role = 'edge'"
+    per_silence = ["_on", *[f"_base{c}" for c in COUNTS]]
+    combined = (
+        hits.selectExpr(
+            *quoted(keys),
+            "_gap",
+            f"if({counts}, 'count', _role) as _kind",
+            f"if({counts}, receiver_type, null) as _receiver",
+            *[f"if({counts}, null, `{c}`) as `_m_{c}`" for c in payload],
+            *per_silence,
+        )
+        .groupBy(*keys, "_gap", "_kind", "_receiver", *[f"_m_{c}" for c in payload])
+        .agg(F.expr("count(1) as _rows"), *[F.expr(f"max({c}) as {c}") for c in per_silence])
     )
-    merged = narrow.groupBy(*keys, "_gap", "_is_first").agg(
-        F.max("_off_message").alias("_off"),
-        F.min("_on_message").alias("_on_message"),
-        F.max("_on").alias("_on_us"),
-        *receiver_counts(F.col("_counted")),
-        *[F.max(f"_base{c}").alias(f"_base{c}") for c in COUNTS],
+    # The tie-break comes first, so comparing messages follows it; the rest of the message comes
+    # after it, so that the choice never depends on how the data is partitioned.
+    message = F.struct(*[F.col(f"_m_{c}").alias(c) for c in payload])
+    return combined.select(*keys, "_gap", "_kind", "_receiver", "_rows", *per_silence, message.alias("_m"))
+
+
+def _records(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per silence from its few answers."""
+    counted = "filter (where _kind = 'count')"
+    sums = [f"coalesce(sum(_rows) {counted}, 0) as _n"] + [
+        f"coalesce(sum(if(_receiver = '{name}', _rows, 0)) {counted}, 0) as _n_{suffix}"
+        for name, suffix in RECEIVER_TYPES.items()
+    ]
+    merged = answers.groupBy(*keys, "_gap", F.expr("_kind = 'first' as _is_first")).agg(
+        F.expr("max(_m) filter (where _kind = 'off') as off"),
+        F.expr("min(_m) filter (where _kind in ('on', 'first')) as on"),
+        *[F.expr(s) for s in sums],
+        *[F.expr(f"max({c}) as {c}") for c in ("_on", *[f"_base{c}" for c in COUNTS])],
     )
-    off = F.col("_off.message")
-    own = {"_n": F.lit(1)}
-    for name, suffix in RECEIVER_TYPES.items():
-        own[f"_n_{suffix}"] = F.when(off["receiver_type"] == name, 1).otherwise(0)
-    return merged.select(
-        *keys,
-        F.col("_is_first").alias("is_first"),
-        off.alias("off"),
-        F.col("_on_message.message").alias("on"),
-        F.when(~F.col("_is_first"), F.col("_gap")).alias("off_us"),
-        F.when(F.col("_is_first"), F.col("_gap")).otherwise(F.col("_on_us")).alias("on_us"),
-        *[(F.col(c) + F.col(f"_base{c}") + own[c]).alias(c) for c in COUNTS],
+    own = {f"_n_{s}": f"if(off.receiver_type <=> '{r}', 1, 0)" for r, s in RECEIVER_TYPES.items()}
+    return merged.selectExpr(
+        *quoted(keys),
+        "_is_first as is_first",
+        "off",
+        "on",
+        "if(_is_first, null, _gap) as off_us",
+        "if(_is_first, _gap, _on) as on_us",
+        *[f"{c} + _base{c} + {own.get(c, '1')} as {c}" for c in COUNTS],
     )

@@ -16,15 +16,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hushtrack.functions.time import next_midnight_micros
+from hushtrack.functions.time import MICROS_PER_DAY
 from hushtrack.schemas import RECEIVER_TYPES
 
 COUNTS = ("_n", *(f"_n_{s}" for s in RECEIVER_TYPES.values()))
 
 
+def quoted(names: Sequence[str]) -> list[str]:
+    """Column names as they are written in SQL."""
+    return [f"`{name}`" for name in names]
+
+
 @dataclass(frozen=True)
 class Grid:
     """Slots of ``width`` microseconds counted from ``anchor``; ``reach`` of them per look-back."""
@@ -43,10 +48,10 @@ class Grid:
             reach += 1
         return cls(look_back_us // reach, reach, anchor_us)
 
-    def slot(self, us: Column) -> Column:
-        offset = us - F.lit(self.anchor)
-        # The dividend is a multiple of the width, so the quotient is exact.
-        return ((offset - F.pmod(offset, F.lit(self.width))) / F.lit(self.width)).cast("bigint")
+    def slot(self, us: str = "_us") -> str:
+        """SQL of the slot of an instant; the dividend is a multiple of the width."""
+        offset = f"({us} - {self.anchor}L)"
+        return f"(({offset} - pmod({offset}, {self.width}L)) div {self.width}L)"
 
 
 @dataclass(frozen=True)
@@ -67,30 +72,22 @@ class Rules:
         return Grid.of(self.threshold_us, self.look_back_us, self.range_start_us or 0)
 
 
-def receiver_counts(when: Column | None = None) -> list[Column]:
-    """Number of messages, in total and of each receiver type counted on its own."""
-    hit = F.lit(True) if when is None else when
-    return [
-        F.count(F.when(hit, 1)).alias("_n"),
-        *[
-            F.count(F.when(hit & (F.col("receiver_type") == name), 1)).alias(f"_n_{suffix}")
-            for name, suffix in RECEIVER_TYPES.items()
-        ],
-    ]
-
-
 def slot_summary(messages: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """One row per key and slot: first and last instant, counts by receiver type."""
+    counts = ["count(1) as _n"] + [
+        f"count_if(receiver_type = '{name}') as _n_{suffix}"
+        for name, suffix in RECEIVER_TYPES.items()
+    ]
     return (
-        messages.select(*keys, "receiver_type", "_us")
-        .groupBy(*keys, grid.slot(F.col("_us")).alias("_slot"))
-        .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"), *receiver_counts())
+        messages.selectExpr(*quoted(keys), "receiver_type", "_us", f"{grid.slot()} as _slot")
+        .groupBy(*keys, "_slot")
+        .agg(*[F.expr(e) for e in ("min(_us) as _lo", "max(_us) as _hi", *counts)])
     )
 
 
 def neighbours(summary: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """Add to each slot its neighbours and its look-back sums, one window per key."""
-    return summary.select("*", *_neighbour_columns(Window.partitionBy(*keys), grid))
+    return summary.selectExpr("*", *_neighbour_columns(keys, grid))
 
 
 def neighbours_bucketed(
@@ -104,60 +101,56 @@ def neighbours_bucketed(
     """
     size = max(bucket_us // grid.width, grid.reach, 1)
 
-    def bucket(slot: Column) -> Column:
-        return F.floor((slot - F.pmod(slot, F.lit(size))) / F.lit(size))
+    def bucket(slot: str) -> str:
+        return f"(({slot} - pmod({slot}, {size}L)) div {size}L)"
 
-    slot = F.col("_slot")
-    own = bucket(slot)
-    spread = summary.select(
-        "*",
-        own.alias("_own"),
-        F.explode(F.array_distinct(F.array(own, bucket(slot + grid.reach)))).alias("_bucket"),
+    own, reached = bucket("_slot"), bucket(f"(_slot + {grid.reach}L)")
+    spread = summary.selectExpr(
+        "*", f"{own} as _own", f"explode(array_distinct(array({own}, {reached}))) as _bucket"
     )
-    inside = spread.select(
-        "*", *_neighbour_columns(Window.partitionBy(*keys, "_bucket"), grid)
-    ).where(F.col("_bucket") == F.col("_own"))
-
-    along = Window.partitionBy(*keys).orderBy("_bucket")
+    inside = spread.selectExpr("*", *_neighbour_columns([*keys, "_bucket"], grid)).where(
+        "_bucket = _own"
+    )
+    along = f"over (partition by {', '.join(quoted(keys))} order by _bucket)"
     ends = (
-        summary.groupBy(*keys, own.alias("_bucket"))
+        summary.groupBy(*keys, F.expr(f"{own} as _bucket"))
         .agg(
             F.min("_slot").alias("_first_slot"),
             F.max("_slot").alias("_last_slot"),
             F.min("_lo").alias("_first_lo"),
         )
-        .select(
-            *keys,
+        .selectExpr(
+            *quoted(keys),
             "_bucket",
-            F.lag("_last_slot").over(along).alias("_before"),
-            F.lead("_first_slot").over(along).alias("_after"),
-            F.lead("_first_lo").over(along).alias("_after_lo"),
+            f"lag(_last_slot) {along} as _before",
+            f"lead(_first_slot) {along} as _after",
+            f"lead(_first_lo) {along} as _after_lo",
         )
     )
-    stitched = inside.join(ends, [*keys, "_bucket"])
-    return stitched.select(
+    return inside.join(ends, [*keys, "_bucket"]).selectExpr(
         *summary.columns,
-        F.coalesce("_prev_slot", "_before").alias("_prev_slot"),
-        F.coalesce("_next_slot", "_after").alias("_next_slot"),
-        F.coalesce("_next_lo", "_after_lo").alias("_next_lo"),
+        "coalesce(_prev_slot, _before) as _prev_slot",
+        "coalesce(_next_slot, _after) as _next_slot",
+        "coalesce(_next_lo, _after_lo) as _next_lo",
         *[c for c in inside.columns if c.startswith(("_mid", "_edge"))],
     )
 
 
-def _neighbour_columns(part, grid: Grid) -> list[Column]:
-    order = part.orderBy("_slot")
+def _neighbour_columns(part: Sequence[str], grid: Grid) -> list[str]:
+    order = f"partition by {', '.join(quoted(part))} order by _slot"
     columns = [
-        F.lag("_slot").over(order).alias("_prev_slot"),
-        F.lead("_slot").over(order).alias("_next_slot"),
-        F.lead("_lo").over(order).alias("_next_lo"),
+        f"lag(_slot) over ({order}) as _prev_slot",
+        f"lead(_slot) over ({order}) as _next_slot",
+        f"lead(_lo) over ({order}) as _next_lo",
     ]
-    if grid.reach > 0:
-        edge = order.rangeBetween(-grid.reach, -grid.reach)
-        columns += [F.min("_lo").over(edge).alias("_edge_lo"), F.max("_hi").over(edge).alias("_edge_hi")]
-        columns += [F.sum(c).over(edge).alias(f"_edge{c}") for c in COUNTS]
-    if grid.reach > 1:
-        middle = order.rangeBetween(-(grid.reach - 1), -1)
-        columns += [F.sum(c).over(middle).alias(f"_mid{c}") for c in COUNTS]
+    far, near = grid.reach, grid.reach - 1
+    if far > 0:
+        edge = f"over ({order} range between {far} preceding and {far} preceding)"
+        columns += [f"min(_lo) {edge} as _edge_lo", f"max(_hi) {edge} as _edge_hi"]
+        columns += [f"sum({c}) {edge} as _edge{c}" for c in COUNTS]
+    if near > 0:
+        middle = f"over ({order} range between {near} preceding and 1 preceding)"
+        columns += [f"sum({c}) {middle} as _mid{c}" for c in COUNTS]
     return columns
 
 
@@ -170,46 +163,33 @@ def silences(rows: DataFrame, rules: Rules, keys: Sequence[str]) -> DataFrame:
     is set when the first slot of the look-back is only partly inside it.
     """
     grid = rules.grid
-    hi, threshold = F.col("_hi"), F.lit(rules.threshold_us)
-    recent = F.lit(True) if rules.earliest_off_us is None else hi >= F.lit(rules.earliest_off_us)
-    no = F.lit(False)
-
-    is_pair = (F.col("_next_lo") - hi > threshold) & recent if rules.pairs else no
-    is_open = no
-    if rules.open:
-        end = next_midnight_micros(hi) if rules.range_end_us is None else F.lit(rules.range_end_us)
-        is_open = F.col("_next_slot").isNull() & (end - hi > threshold) & recent
-    is_first = no
-    if rules.first:
-        is_first = (F.col("_slot") >= 0) & F.coalesce(F.col("_prev_slot") < 0, F.lit(True))
-
-    marked = rows.select(
-        "*",
-        F.coalesce(is_pair, no).alias("_is_pair"),
-        F.coalesce(is_open, no).alias("_is_open"),
-        F.coalesce(is_first, no).alias("_is_first"),
-    ).where("_is_pair or _is_open or _is_first")
+    recent = "true" if rules.earliest_off_us is None else f"_hi >= {rules.earliest_off_us}L"
+    day = MICROS_PER_DAY
+    end = f"(_hi - pmod(_hi, {day}L) + {day}L)" if rules.range_end_us is None else f"{rules.range_end_us}L"
+    late = f"> {rules.threshold_us}L and {recent}"
 
-    base = {c: F.lit(0).cast("bigint") for c in COUNTS}
-    edge_from = F.lit(None).cast("bigint")
+    is_pair = f"coalesce(_next_lo - _hi {late}, false)" if rules.pairs else "false"
+    is_open = f"(_next_slot is null and {end} - _hi {late})" if rules.open else "false"
+    is_first = "(_slot >= 0 and coalesce(_prev_slot < 0, true))" if rules.first else "false"
+
+    base, edge_from = {c: "0L" for c in COUNTS}, "cast(null as bigint)"
     if grid.reach > 0:
-        start = hi - F.lit(rules.look_back_us)
-        whole = F.col("_edge_lo") >= start
-        edge_from = F.when((F.col("_edge_lo") < start) & (F.col("_edge_hi") >= start), start)
-        base = {c: F.when(whole, F.col(f"_edge{c}")).otherwise(v) for c, v in base.items()}
+        start = f"(_hi - {rules.look_back_us}L)"
+        edge_from = f"if(_edge_lo < {start} and _edge_hi >= {start}, {start}, null)"
+        base = {c: f"coalesce(if(_edge_lo >= {start}, _edge{c}, 0L), 0L)" for c in COUNTS}
     if grid.reach > 1:
-        base = {c: v + F.coalesce(F.col(f"_mid{c}"), F.lit(0)) for c, v in base.items()}
+        base = {c: f"{v} + coalesce(_mid{c}, 0L)" for c, v in base.items()}
 
-    return marked.select(
-        *keys,
+    return rows.selectExpr(
+        *quoted(keys),
         "_slot",
         "_lo",
         "_hi",
         "_next_slot",
         "_next_lo",
-        "_is_pair",
-        "_is_open",
-        "_is_first",
-        edge_from.alias("_edge_from"),
-        *[v.alias(c) for c, v in base.items()],
-    )
+        f"{is_pair} as _is_pair",
+        f"{is_open} as _is_open",
+        f"{is_first} as _is_first",
+        f"{edge_from} as _edge_from",
+        *[f"{v} as {c}" for c, v in base.items()],
+    ).where("_is_pair or _is_open or _is_first")

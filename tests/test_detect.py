@@ -88,8 +88,10 @@ def known(spark, text, n):
     return off.withColumn("positions_hours_before", F.lit(n).cast("bigint"))
 
 
-@pytest.mark.parametrize("bucket_days", [None, 1, 180])
-@pytest.mark.parametrize("case", CASES, ids=[c[0] for c in CASES])
+WITH_BUCKETS = [(c, b) for c in CASES for b in (None, 1, 180) if b is None or c[0] in ("thirty_days", "three_days", "last_window", "middle_window")]
+
+
+@pytest.mark.parametrize("case,bucket_days", WITH_BUCKETS, ids=[f"{c[0]}-{b}" for c, b in WITH_BUCKETS])
 def test_cases(spark, case, bucket_days):
     _, rows, threshold, dates, open_gap, eval_last, want = case
     gaps = run_window(
@@ -272,8 +274,11 @@ STRATEGIES = {
 }
 
 
-@pytest.mark.parametrize("name", STRATEGIES)
-@pytest.mark.parametrize("threshold,n_hours", [(6, 12), (0.5, 12), (1 + 1 / 3, 3), (24, 12), (5, 0), (0, 12)])
+RULES = [(6, 12), (0.5, 12), (1 + 1 / 3, 3), (24, 12), (5, 0), (0, 12)]
+COMBINED = [(n, t, h) for i, n in enumerate(STRATEGIES) for j, (t, h) in enumerate(RULES) if n in ("broadcast", "bucketed_small") or (i + j) % 2]
+
+
+@pytest.mark.parametrize("name,threshold,n_hours", COMBINED)
 def test_random_against_brute_force(spark, name, threshold, n_hours):
     from dataclasses import replace
 
