@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -35,6 +35,7 @@ from hushtrack.schemas import COUNT_COLUMNS, GAP, MANDATORY
 from hushtrack.storage import written
 
 DateRange = tuple[date | str, date | str]
+RowFilter = Callable[[DataFrame], DataFrame]
 
 _COUNT_OF = dict(zip(COUNTS, COUNT_COLUMNS))
 
@@ -92,25 +93,39 @@ def run_window(
     date_range: DateRange | None = None,
     settings: Settings = Settings(threshold_h=6.0),
     eval_last: bool = True,
+    keep: RowFilter | None = None,
 ) -> DataFrame:
     """All gaps of one run: pairs, known open gaps that close, and new open gaps.
 
     A ``gap_id`` is reported once: a gap found in the messages replaces the closing of the open
     gap that announced it.
+
+    ``keep`` filters messages row by row with a join, as ``messages`` could have been before. Given
+    here it is applied to the few columns of the first pass and to the few rows of the second one,
+    so that whole messages are never shuffled for it.
     """
     return _run(
-        messages, settings, pairs=True, open=eval_last, known_open=known_open, date_range=date_range
+        messages,
+        settings,
+        pairs=True,
+        open=eval_last,
+        known_open=known_open,
+        date_range=date_range,
+        keep=keep,
     )
 
 
+def require_columns(messages: DataFrame, keys: Sequence[str]) -> None:
+    missing = sorted((set(MANDATORY) | set(keys)) - set(messages.columns))
+    if missing:
+        raise GapDetectionError(f"Missing column in input messages: {', '.join(missing)}")
+
+
 def prepare(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Check the mandatory columns and add the instant as whole microseconds.
+    """Add the instant as whole microseconds.
 
     Rows without a key or a timestamp belong to no track and are left out.
     """
-    missing = sorted((set(MANDATORY) | set(keys)) - set(messages.columns))
-    if missing:
-        raise GapDetectionError(f"Missing column in input messages: {', '.join(missing)}")
     if dict(messages.dtypes)["timestamp"] != "timestamp":
         messages = messages.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     known = F.col("timestamp").isNotNull()
@@ -127,20 +142,27 @@ def _run(
     known_open: DataFrame | None = None,
     date_range: DateRange | None = None,
     earliest_off_us: int | None = None,
+    keep: RowFilter | None = None,
 ) -> DataFrame:
     keys = list(settings.keys)
     threshold_us = hours_to_micros(settings.threshold_h)
+    look_back_us = hours_to_micros(settings.n_hours_before)
     start_us = end_us = None
+    require_columns(messages, keys)
     if date_range is not None:
         start_us, end_us = (instant_micros(d) for d in date_range)
         messages = messages.where(F.col("timestamp") < instant(date_range[1]))
         earliest_off_us = start_us - threshold_us
     if date_range is None:
         known_open = None  # without a range there is no first message to close a gap with
+    if earliest_off_us is not None:
+        # Nothing before the look-back of the earliest gap matters; the scan can skip it.
+        oldest = F.timestamp_micros(F.lit(earliest_off_us - look_back_us))
+        messages = messages.where(F.col("timestamp") >= oldest)
 
     rules = Rules(
         threshold_us=threshold_us,
-        look_back_us=hours_to_micros(settings.n_hours_before),
+        look_back_us=look_back_us,
         pairs=pairs,
         open=open,
         first=known_open is not None,
@@ -150,9 +172,10 @@ def _run(
     )
     tracks = prepare(messages, keys)
     picked = None if known_open is None else pick_open_gap(known_open, keys)
-    found = find(tracks, rules, keys, settings, picked)
+    kept = tracks if keep is None else keep(tracks)
+    found = find(kept, rules, keys, settings, picked)
     found_rows = found.count()  # read from the file footers
-    filled = fill(tracks, found, found_rows, rules, keys, settings.limits)
+    filled = fill(tracks, found, found_rows, rules, keys, settings.limits, keep)
     return create_gaps(filled, settings, tracks, picked)
 
 

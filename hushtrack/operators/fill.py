@@ -8,7 +8,7 @@ requests are few and narrow; messages that answer none are dropped at the join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +50,12 @@ def fill(
     rules: Rules,
     keys: Sequence[str],
     limits: Limits,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Messages at the ends of each silence and its look-back counts.
 
+    ``keep`` filters rows; it was applied to the messages of the first pass already.
+
     Columns: the keys, ``off`` and ``on`` (whole messages), their instants, the counts, and
     ``is_first`` for rows that only carry the first message of the range (in ``on``).
     """
@@ -66,6 +69,8 @@ def fill(
         found_rows * REQUESTS_PER_SILENCE,
         limits,
     )
+    if keep is not None:
+        hits = keep(hits)
     return _records(_answers(hits, keys, payload), keys)
 
 

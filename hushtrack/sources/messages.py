@@ -77,6 +77,17 @@ def good_segments(
     return segments
 
 
+def on_good_segments(
+    messages: DataFrame,
+    segments: DataFrame,
+    filter_good_seg: bool = False,
+    filter_not_overlapping_and_short: bool = False,
+) -> DataFrame:
+    """Messages whose segment is known and passes the quality filters."""
+    good = good_segments(segments, filter_good_seg, filter_not_overlapping_and_short)
+    return messages.join(good.select("seg_id"), "seg_id", "left_semi").select(*messages.columns)
+
+
 def select_messages(
     messages: DataFrame,
     segments: DataFrame | None = None,
@@ -99,8 +110,9 @@ def select_messages(
     elif "type" in chosen.columns:
         chosen = chosen.withColumn("ais_class", F.coalesce("ais_class", units.ais_class(F.col("type"))))
     if segments is not None and "seg_id" in chosen.columns:
-        good = good_segments(segments, filter_good_seg, filter_not_overlapping_and_short)
-        chosen = chosen.join(good.select("seg_id"), "seg_id", "left_semi")
+        chosen = on_good_segments(
+            chosen, segments, filter_good_seg, filter_not_overlapping_and_short
+        )
     # Columns the source lacks are null.
     return chosen.select(
         *[

@@ -91,6 +91,10 @@ def test_versions(spark):
     # g1 was open once, but its latest version is closed.
     assert ids(versions.select_gaps(gaps, is_closed=False)) == ["g2", "g4"]
     assert ids(versions.carried_open_gaps(gaps, "2024-01-04")) == ["g4"]
+    reopened = gaps.unionByName(gaps.where("gap_id = 'g1' and not is_closed").withColumn("version", F.lit("2024-01-09").cast("timestamp")))
+    for rows in (gaps, reopened, reopened.unionByName(reopened.where("gap_id = 'g2'"))):
+        one, two = versions.carried_open_gaps(rows, "2024-01-01"), versions.select_gaps(rows, "2024-01-01", is_closed=False)
+        assert state(one, True) == state(two, True) and one.columns == two.columns
     assert ids(versions.select_gaps(gaps, end_date="2024-01-05")) == ["g3"]
     assert ids(versions.select_gaps(gaps, start_date="2024-01-02", ssvids=["v"], is_closed=True)) == ["g3"]
     assert [(r.gap_id, r.is_closed) for r in versions.without_recreated(gaps, "2024-01-05").orderBy("gap_id").collect()] == [
