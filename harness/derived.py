@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hushtrack.functions.cells import cell_ids
 from hushtrack.schemas import REGION, REGION_LAYERS
 from hushtrack.storage import written
 
@@ -130,10 +132,6 @@ _GRID_STEP, _MARGIN_LAT, _MARGIN_LON = 0.03, 0.15, 0.3
 
 
 def _cells_of_box(batches):
-    import numpy as np
-
-    from hushtrack.functions.cells import cell_ids
-
     for boxes in batches:
         rows = []
         for box in boxes.itertuples():
@@ -144,7 +142,8 @@ def _cells_of_box(batches):
         yield pd.DataFrame(rows, columns=["n_nationkey", "s2_cells"])
 
 
-def _make_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions with the grid cells they touch."""
     layers = F.array(*[F.lit(name) for name in REGION_LAYERS])
     boxes = table(spark, sf_dir, "nation").selectExpr("n_nationkey", *REGION_BOUNDS.split(",\n"))
     covered = boxes.repartition(8).mapInPandas(_cells_of_box, "n_nationkey int, s2_cells array<bigint>")
@@ -159,14 +158,3 @@ def _make_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s2_cells",
     )
     return written(named.select(*[F.col(f.name).cast(f.dataType) for f in REGION]), "regions")
-
-
-_REGIONS: dict[tuple[str, str], DataFrame] = {}
-
-
-def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions with their grid cells, computed once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _REGIONS:
-        _REGIONS[key] = _make_regions(spark, sf_dir)
-    return _REGIONS[key]

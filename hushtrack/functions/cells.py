@@ -63,6 +63,11 @@ def _cell(lat: pd.Series, lon: pd.Series) -> pd.Series:
     return out
 
 
+# A join on the cell implies that it is not null, and the optimizer would evaluate the function a
+# second time below other joins to check that. Only deterministic functions are moved.
+_cell = _cell.asNondeterministic()
+
+
 def cell(lat: Column, lon: Column) -> Column:
     """Cell of a point at the region grid level; null for a null coordinate."""
     return _cell(lat.cast("double"), lon.cast("double"))

@@ -171,7 +171,10 @@ def _run(
         range_end_us=end_us,
     )
     tracks = prepare(messages, keys)
-    picked = None if known_open is None else pick_open_gap(known_open, keys)
+    picked = None
+    if known_open is not None:
+        # Needed by both passes, and reading the latest versions of a table is not cheap.
+        picked = written(pick_open_gap(known_open, keys), "open-gaps")
     kept = tracks if keep is None else keep(tracks)
     found = find(kept, rules, keys, settings, picked)
     found_rows = found.count()  # read from the file footers

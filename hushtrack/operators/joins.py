@@ -16,7 +16,7 @@ class Limits:
     """Sizes at which the physical strategy changes. They never change a result."""
 
     # A side with at most this many (narrow) rows is broadcast.
-    broadcast_rows: int = 500_000
+    broadcast_rows: int = 2_000_000
     # A join key with more rows than this on the large side is split into several.
     hot_rows: int = 5_000_000
 
@@ -48,19 +48,17 @@ def sized_join(
         .select(*on, F.ceil(F.col("count") / limits.hot_rows).cast("int").alias("_parts"))
     )
     hot = F.broadcast(written(hot, "hot-keys"))
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
     # The value hash spreads different rows, the partition id spreads copies of one row; neither
     # depends on the order of rows, so a recomputed task salts its rows the same way.
     spread = F.xxhash64(*large.columns, F.spark_partition_id())
+    salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(spread, F.col("_parts")))
     salted_large = (
-        large.withColumn("_spread", spread)
-        .join(hot, on, "left")
-        .withColumn("_salt", F.pmod(F.col("_spread"), parts).cast("int"))
-        .drop("_parts", "_spread")
+        large.join(hot, on, "left").withColumn("_salt", salt.cast("int")).drop("_parts")
     )
+    last_part = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     salted_small = (
         small.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_part)))
         .drop("_parts")
     )
     return _joined(salted_large, salted_small, [*on, "_salt"], condition).drop("_salt")

@@ -74,7 +74,11 @@ def visits(port_visits: DataFrame) -> DataFrame:
 
 
 def with_vessels(gaps: DataFrame, segments: DataFrame, vessels: DataFrame) -> DataFrame:
-    """Add the segments and vessels of both ends; gaps of unknown start vessels drop out."""
+    """Add the segments and vessels of both ends; gaps of unknown start vessels drop out.
+
+    The mandatory joins come first: they shrink the rows, and a reader that needs nothing of the
+    optional ones can leave those out.
+    """
 
     def segment(end: str) -> DataFrame:
         return segments.select(
@@ -92,8 +96,8 @@ def with_vessels(gaps: DataFrame, segments: DataFrame, vessels: DataFrame) -> Da
 
     return (
         gaps.join(segment("start"), "start_seg_id", "left")
-        .join(segment("end"), "end_seg_id", "left")
         .join(vessel("start"), ["_start_vessel_id", "year"])
+        .join(segment("end"), "end_seg_id", "left")
         .join(vessel("end"), ["_end_vessel_id", "year"], "left")
     )
 

@@ -32,10 +32,24 @@ def parse_time(value: Column) -> Column:
     )
 
 
-def read_json_messages(spark: SparkSession, path: str | Sequence[str], lines: bool = True) -> DataFrame:
-    """Messages from JSON lines, or from one JSON array per file when ``lines`` is false."""
+def extra_fields(passthrough: str | None) -> list[T.StructField]:
+    """Fields declared as ``"sog double, course double"``."""
+    return T.StructType.fromDDL(passthrough).fields if passthrough else []
+
+
+def read_json_messages(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    lines: bool = True,
+    passthrough: str | None = None,
+) -> DataFrame:
+    """Messages from JSON lines, or from one JSON array per file when ``lines`` is false.
+
+    ``passthrough`` declares further columns to read.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.schema(_JSON_SCHEMA).option("multiLine", not lines).json(paths)
+    schema = T.StructType([*_JSON_SCHEMA.fields, *extra_fields(passthrough)])
+    raw = spark.read.schema(schema).option("multiLine", not lines).json(paths)
     return raw.withColumn("timestamp", parse_time(F.col("timestamp")))
 
 
@@ -96,11 +110,12 @@ def select_messages(
     ssvids: Sequence[str] = (),
     filter_good_seg: bool = False,
     filter_not_overlapping_and_short: bool = False,
+    passthrough: str | None = None,
 ) -> DataFrame:
     """Messages of a range of days, of some vessels, on known (and good enough) segments.
 
     ``ais_class`` is derived from ``type`` where that column exists. Each filter applies to any
-    source that has its column.
+    source that has its column. ``passthrough`` declares further columns that gaps shall carry.
     """
     chosen = messages.where(in_days(messages, "timestamp", start_date, end_date))
     chosen = of_vessels(chosen, ssvids)
@@ -117,7 +132,7 @@ def select_messages(
     return chosen.select(
         *[
             (F.col(f.name) if f.name in chosen.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in MESSAGE
+            for f in (*MESSAGE, *extra_fields(passthrough))
         ]
     )
 

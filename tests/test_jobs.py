@@ -180,6 +180,8 @@ def test_sources_of_open_gaps_and_json_output(spark, tmp_path, lines):
     assert run_detect(spark, DetectConfig(**later, open_gaps=saved)).where("is_closed").count() == 1
     nested = run_detect(spark, DetectConfig("2024-01-01", "2024-01-03", json_messages=lines[0], normalize_output=False))
     assert "OFF" in nested.columns
+    more = run_detect(spark, DetectConfig("2024-01-01", "2024-01-03", json_messages=lines[0], passthrough="msg_rank int, type string"))
+    assert {"start_msg_rank", "end_type"} <= set(more.columns)
 
 
 def test_reports(spark):
