@@ -15,6 +15,7 @@ from hushtrack.operators.regions import points_in_regions, regions_by_layer
 from hushtrack.schemas import EVENT
 from hushtrack.sources.messages import in_days
 from hushtrack.sources.tables import EventsTable, conform
+from hushtrack.storage import require_utc
 
 # Fixed value: start that marks a voyage whose beginning is not known.
 UNKNOWN_TRIP_START = "1979-01-01"
@@ -295,6 +296,7 @@ def run_publish(
     antimeridian_safe: bool = False,
 ) -> DataFrame:
     """Build the events of a range and replace the events table with them."""
+    require_utc(spark)
     table = EventsTable(spark, events_path)
     table.overwrite(gap_events(inputs, start_date, end_date, include_open, antimeridian_safe))
     return table.read()

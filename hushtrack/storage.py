@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days, months and years of the tables are UTC, and Spark takes them in the session's zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
+
+
 @lru_cache(maxsize=None)
 def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="spark-hushtrack-")
