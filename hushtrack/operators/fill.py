@@ -17,28 +17,40 @@ from hushtrack.operators.joins import Limits, sized_join
 from hushtrack.operators.slots import COUNTS, Rules, quoted
 from hushtrack.schemas import RECEIVER_TYPES, TIE_BREAK
 
+# What a request is for, as a byte: messages to count, or a whole message to fetch.
+_COUNT, _OFF, _ON, _FIRST = "0Y", "1Y", "2Y", "3Y"
+
 # Each silence makes at most this many requests.
-REQUESTS_PER_SILENCE = 4
+REQUESTS_PER_SILENCE = 5
 
 
 def requests(found: DataFrame, rules: Rules, keys: Sequence[str]) -> DataFrame:
-    """One row per silence and slot that must be looked at again.
+    """One row per silence, slot and purpose.
 
     ``_gap`` identifies the silence of a key, ``_from`` and ``_to`` bound the wanted instants.
     """
     start = f"_hi - {rules.look_back_us}L"
     far_slot = f"_slot - {rules.grid.reach}L"
     far_end = f"{start} + {rules.grid.width}L"
-    wanted = f"""explode(array_compact(array(
-        if(_is_pair or _is_open, struct('off' as _role, _slot as _slot, _hi as _gap, {start} as _from, _hi as _to), null),
-        if((_is_pair or _is_open) and _edge_from is not null,
-           struct('edge' as _role, {far_slot} as _slot, _hi as _gap, _edge_from as _from, {far_end} as _to), null),
-        if(_is_pair, struct('on' as _role, _next_slot as _slot, _hi as _gap, _next_lo as _from, _next_lo as _to), null),
-        if(_is_first, struct('first' as _role, _slot as _slot, _lo as _gap, _lo as _from, _lo as _to), null)
-    ))) as _r"""
+    is_gap = "(_is_pair or _is_open)"
+
+    def request(when: str, kind: str, slot: str, gap: str, first_us: str, last_us: str) -> str:
+        return (
+            f"if({when}, struct({kind} as _kind, {slot} as _slot, {gap} as _gap, "
+            f"{first_us} as _from, {last_us} as _to), null)"
+        )
+
+    wanted = [
+        request(is_gap, _OFF, "_slot", "_hi", "_hi", "_hi"),
+        request(f"{is_gap} and _lo < _hi", _COUNT, "_slot", "_hi", start, "_hi - 1L"),
+        request(f"{is_gap} and _edge_from is not null", _COUNT, far_slot, "_hi", "_edge_from", far_end),
+        request("_is_pair", _ON, "_next_slot", "_hi", "_next_lo", "_next_lo"),
+        request("_is_first", _FIRST, "_slot", "_lo", "_lo", "_lo"),
+    ]
     base = [f"{c} as _base{c}" for c in COUNTS]
     on = "if(_is_pair, _next_lo, null) as _on"
-    return found.selectExpr(*quoted(keys), on, *base, wanted).selectExpr(
+    explode = f"explode(array_compact(array({', '.join(wanted)}))) as _r"
+    return found.selectExpr(*quoted(keys), on, *base, explode).selectExpr(
         *quoted(keys), "_on", *[f"_base{c}" for c in COUNTS], "_r.*"
     )
 
@@ -81,36 +93,37 @@ def _answers(hits: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> Da
     rows, and so do copies of one message, so a hash aggregate with map-side combine leaves a few
     rows per silence, whatever the number of messages in its slots.
     """
-    counts = "(_role = 'off' and _us < _gap) or _role = 'edge'"
     per_silence = ["_on", *[f"_base{c}" for c in COUNTS]]
+    # Key columns are in the row anyway.
+    fetched = [c for c in payload if c not in keys]
     combined = (
         hits.selectExpr(
             *quoted(keys),
             "_gap",
-            f"if({counts}, 'count', _role) as _kind",
-            f"if({counts}, receiver_type, null) as _receiver",
-            *[f"if({counts}, null, `{c}`) as `_m_{c}`" for c in payload],
+            "_kind",
+            f"if(_kind = {_COUNT}, receiver_type, null) as _receiver",
+            *[f"if(_kind = {_COUNT}, null, `{c}`) as `_m_{c}`" for c in fetched],
             *per_silence,
         )
-        .groupBy(*keys, "_gap", "_kind", "_receiver", *[f"_m_{c}" for c in payload])
+        .groupBy(*keys, "_gap", "_kind", "_receiver", *[f"_m_{c}" for c in fetched])
         .agg(F.expr("count(1) as _rows"), *[F.expr(f"max({c}) as {c}") for c in per_silence])
     )
     # The tie-break comes first, so comparing messages follows it; the rest of the message comes
     # after it, so that the choice never depends on how the data is partitioned.
-    message = F.struct(*[F.col(f"_m_{c}").alias(c) for c in payload])
+    message = F.struct(*[F.col(c if c in keys else f"_m_{c}").alias(c) for c in payload])
     return combined.select(*keys, "_gap", "_kind", "_receiver", "_rows", *per_silence, message.alias("_m"))
 
 
 def _records(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per silence from its few answers."""
-    counted = "filter (where _kind = 'count')"
+    counted = f"filter (where _kind = {_COUNT})"
     sums = [f"coalesce(sum(_rows) {counted}, 0) as _n"] + [
         f"coalesce(sum(if(_receiver = '{name}', _rows, 0)) {counted}, 0) as _n_{suffix}"
         for name, suffix in RECEIVER_TYPES.items()
     ]
-    merged = answers.groupBy(*keys, "_gap", F.expr("_kind = 'first' as _is_first")).agg(
-        F.expr("max(_m) filter (where _kind = 'off') as off"),
-        F.expr("min(_m) filter (where _kind in ('on', 'first')) as on"),
+    merged = answers.groupBy(*keys, "_gap", F.expr(f"_kind = {_FIRST} as _is_first")).agg(
+        F.expr(f"max(_m) filter (where _kind = {_OFF}) as off"),
+        F.expr(f"min(_m) filter (where _kind in ({_ON}, {_FIRST})) as on"),
         *[F.expr(s) for s in sums],
         *[F.expr(f"max({c}) as {c}") for c in ("_on", *[f"_base{c}" for c in COUNTS])],
     )

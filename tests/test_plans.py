@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hushtrack import storage
 from hushtrack.operators.detect import Settings, detect_gaps, find, prepare, run_window
-from hushtrack.operators.fill import REQUESTS_PER_SILENCE, fill
+from hushtrack.operators.fill import REQUESTS_PER_SILENCE, fill, requests
 from hushtrack.operators.joins import Limits, sized_join
 from hushtrack.operators.slots import Grid, Rules, neighbours, slot_summary
 from hushtrack.plans.detect_job import DetectConfig, run_detect
@@ -54,7 +54,8 @@ def test_second_pass_does_not_shuffle_messages(spark, stored):
     text = plan(fill(tracks, found, found.count(), rules, keys, Limits()))
     join = text[text.index("BroadcastHashJoin"):]
     assert "Exchange hashpartitioning" not in join and "SortMergeJoin" not in text
-    assert "HashAggregate" in text[:text.index("BroadcastHashJoin")].split("\n")[-3] or "partial" in text
+    made = requests(found, rules, keys).groupBy("ssvid", "_gap").count().agg({"count": "max"}).first()[0]
+    assert made <= REQUESTS_PER_SILENCE
     far = plan(fill(tracks, found, found.count(), rules, keys, Limits(broadcast_rows=0)))
     assert "_salt" in far
 
@@ -62,7 +63,7 @@ def test_second_pass_does_not_shuffle_messages(spark, stored):
 def test_range_prunes_the_scan(spark, stored):
     gaps = run_window(stored, None, ("2024-01-05", "2024-01-07"), Settings(threshold_h=6))
     text = plan(gaps)
-    assert "GreaterThanOrEqual(timestamp,2024-01-04 06:00:00" in text.replace("T", " ").replace("Z", "") or "GreaterThanOrEqual(timestamp" in text
+    assert "GreaterThanOrEqual(timestamp" in text
     assert "LessThan(timestamp" in text
 
 
@@ -76,8 +77,6 @@ def test_sized_join_with_hot_keys_and_copies(spark):
     for limits in (Limits(), Limits(broadcast_rows=0), Limits(broadcast_rows=0, hot_rows=100)):
         got = sized_join(large, small, ["k"], condition, 60, limits)
         assert sorted(got.collect()) == want
-    # no more than the bound on requests is ever made
-    assert REQUESTS_PER_SILENCE == 4
 
 
 def test_intermediate_tables_go_to_the_shared_folder(spark):
