@@ -32,9 +32,10 @@ def parse_time(value: Column) -> Column:
     )
 
 
-def extra_fields(passthrough: str | None) -> list[T.StructField]:
-    """Fields declared as ``"sog double, course double"``."""
-    return T.StructType.fromDDL(passthrough).fields if passthrough else []
+def extra_fields(passthrough: str | None, known: T.StructType) -> list[T.StructField]:
+    """Fields declared as ``"sog double, course double"`` that a schema does not have yet."""
+    declared = T.StructType.fromDDL(passthrough).fields if passthrough else []
+    return [f for f in declared if f.name not in known.names]
 
 
 def read_json_messages(
@@ -48,7 +49,7 @@ def read_json_messages(
     ``passthrough`` declares further columns to read.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    schema = T.StructType([*_JSON_SCHEMA.fields, *extra_fields(passthrough)])
+    schema = T.StructType([*_JSON_SCHEMA.fields, *extra_fields(passthrough, _JSON_SCHEMA)])
     raw = spark.read.schema(schema).option("multiLine", not lines).json(paths)
     return raw.withColumn("timestamp", parse_time(F.col("timestamp")))
 
@@ -132,7 +133,7 @@ def select_messages(
     return chosen.select(
         *[
             (F.col(f.name) if f.name in chosen.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in (*MESSAGE, *extra_fields(passthrough))
+            for f in (*MESSAGE, *extra_fields(passthrough, MESSAGE))
         ]
     )
 
