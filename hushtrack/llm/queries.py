@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hushtrack.llm import chat, exact, mixing, neighbours, prints, secret_scan
+from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encoded(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -41,7 +55,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op9_document_fingerprints, op10_mix_sources)
+    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op9_document_fingerprints, op10_mix_sources)
 }
 
 _FLAT = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0d]', '', 'g')"
