@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, secret_scan
+from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, quality, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,16 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(table.unionByName(more))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(spark, docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(spark, docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.document_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +65,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op9_document_fingerprints, op10_mix_sources)
+    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op6_quality, op7_toxicity, op9_document_fingerprints, op10_mix_sources)
 }
 
 _FLAT = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0d]', '', 'g')"
