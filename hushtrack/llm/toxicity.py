@@ -29,10 +29,12 @@ from hushtrack.llm.labelled import TRAIN_DOCS, fold, sigmoid, training_sample
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Words and beginnings of words that the model uses, at most.
-FEATURES = 1024
-#: A feature must mark so many toxic documents of the sample, and so many times more of them.
-LEAST_DOCS, LEAST_RATIO = 4, 8.0
-PREFIXES = (3, 4, 5, 6)
+FEATURES = 512
+#: A feature must be in so many toxic documents of the sample, and weigh so many times more in them.
+LEAST_DOCS, LEAST_RATIO = 4, 5.0
+PREFIXES = (3, 4, 5, 6, 7, 8)
+#: The weight of n occurrences among so many words is n / (1 + words * DAMPING), at most MOST_WEIGHT.
+DAMPING, MOST_WEIGHT = 0.01, 4.0
 #: Longest token, in characters, that is taken for a disguised word rather than a code.
 LONGEST = 40
 WORD_MEMORY = 300_000
@@ -175,23 +177,26 @@ class Reader:
             return tuple(found)
         return tuple(sorted(self.wanted[f] for f in found if f in self.wanted))
 
-    def read(self, text: str) -> set:
+    def read(self, text: str) -> dict:
+        """Features and their weights in a text."""
         low = text.lower()
-        out: set = set()
-        tokens = set(low.split())
+        tokens = low.split()
+        damp = 1 / (1 + DAMPING * len(tokens))
+        counts = Counter(tokens)
         if self.restorer is not None:
-            tokens.update(m[0].replace(" ", ".") for m in _APART.finditer(low) if len(m[0]) <= 2 * LONGEST)
+            counts.update(m[0].replace(" ", ".") for m in _APART.finditer(low) if len(m[0]) <= 2 * LONGEST)
+        out: dict = {}
         known = self.known
-        for token in tokens:
+        for token, n in counts.items():
             got = known.get(token)
             if got is None:
                 got = self._features(token)
                 if len(known) >= WORD_MEMORY:
                     known.clear()
                 known[token] = got
-            if got:
-                out.update(got)
-        return out
+            for f in got:
+                out[f] = out.get(f, 0) + n
+        return {f: min(MOST_WEIGHT, n * damp) for f, n in out.items()}
 
 
 @dataclass
@@ -209,39 +214,45 @@ class ToxicityModel:
     def of(parts: tuple) -> ToxicityModel:
         return ToxicityModel(CharacterModel(parts[0]), *parts[1:])
 
-    def score(self, found: set) -> float:
-        return float(sigmoid(self.bias + self.weights[list(found)].sum() if found else self.bias))
+    def score(self, found: dict) -> float:
+        """Each feature counts by its presence and by its weight."""
+        if not found:
+            return float(sigmoid(np.float64(self.bias)))
+        rows, size = list(found), len(self.features)
+        return float(sigmoid(self.bias + self.weights[rows].sum() + self.weights[size:][rows] @ list(found.values())))
 
 
 def _marks(sample: DataFrame) -> list[str]:
     """The features that mark toxic documents of the sample, strongest first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, toxic, clean = Reader(None, None), Counter(), Counter()
+        reader, toxic, clean, docs = Reader(None, None), Counter(), Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                (toxic if label else clean).update(reader.read(text))
+                weights = reader.read(text)
+                (toxic if label else clean).update(weights)
+                if label:
+                    docs.update(weights.keys())
             if len(toxic) + len(clean) > WORD_MEMORY:
-                yield rows(toxic, clean)
-                toxic.clear(), clean.clear()
-        yield rows(toxic, clean)
+                yield rows(toxic, clean, docs)
+                toxic.clear(), clean.clear(), docs.clear()
+        yield rows(toxic, clean, docs)
 
-    def rows(toxic: Counter, clean: Counter) -> pa.RecordBatch:
+    def rows(toxic: Counter, clean: Counter, docs: Counter) -> pa.RecordBatch:
         names = list(toxic.keys() | clean.keys())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[n] for n in names], pa.int64()), pa.array([clean[n] for n in names], pa.int64())],
-            ["feature", "toxic", "clean"],
-        )
+        # Whole numbers, so that sums do not depend on their order.
+        columns = [pa.array([round(c[n] * 1000) for n in names], pa.int64()) for c in (toxic, clean, docs)]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["feature", "toxic", "clean", "docs"])
 
     sizes = dict(sample.groupBy("label").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return []
-    ratio = ((F.col("toxic") + 0.1) / (n_toxic + 1)) / ((F.col("clean") + 0.1) / (n_clean + 1))
-    counts = sample.select("text", "label").mapInArrow(count, "feature string, toxic long, clean long")
-    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    counts = counts.where((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO))
-    strength = F.log(ratio) * F.sqrt("toxic")
+    ratio = ((F.col("toxic") + 50) / (n_toxic + 1)) / ((F.col("clean") + 50) / (n_clean + 1))
+    counts = sample.select("text", "label").mapInArrow(count, "feature string, toxic long, clean long, docs long")
+    counts = counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "docs")])
+    counts = counts.where((F.col("docs") >= 1000 * LEAST_DOCS) & (ratio >= LEAST_RATIO))
+    strength = F.log(ratio) * F.sqrt("docs")
     return [r.feature for r in counts.orderBy(F.desc(F.round(strength, 6)), "feature").limit(FEATURES).select("feature").collect()]
 
 
@@ -252,36 +263,41 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = TRA
     sample = training_sample(docs, labels, "toxic", FOLDS, HELD_OUT, most).drop("doc_id")
     features = _marks(sample)
     words = [f[1:] for f in features if f[0] == "="]
-    model = ToxicityModel(CharacterModel.mixed(trigram_counts(docs), words), {f: k for k, f in enumerate(features)}, np.zeros(len(features)), 0.0)
+    model = ToxicityModel(CharacterModel.mixed(trigram_counts(docs), words), {f: k for k, f in enumerate(features)}, np.zeros(2 * len(features)), 0.0)
     shipped = spark.sparkContext.broadcast((model.characters.costs, model.features))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs, wanted = shipped.value
         reader = Reader(Restorer(CharacterModel(costs)), wanted)
         for batch in batches:
-            found = [sorted(reader.read(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], ["found", "label"])
+            found = [sorted(reader.read(t).items()) for t in batch.column("text").to_pylist()]
+            rows = [pa.array([[f for f, _ in x] for x in found], pa.list_(pa.int32())), pa.array([[round(w, 3) for _, w in x] for x in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*rows, batch.column("label")], ["found", "weight", "label"])
 
     # Documents of equal features count together: no more rows than the sample has.
-    rows = sample.mapInArrow(read, "found array<int>, label int").groupBy("found", "label").count().collect()
-    rows.sort(key=lambda r: (list(r.found), r.label))
+    rows = sample.mapInArrow(read, "found array<int>, weight array<double>, label int").groupBy("found", "weight", "label").count().collect()
+    rows.sort(key=lambda r: (list(r.found), list(r.weight), r.label))
     total = sum(r["count"] for r in rows)
     share = sum(r["count"] for r in rows if r.label) / total if total else 0.0
     if not features:
         model.bias = math.log(share / (1 - share)) if 0 < share < 1 else (40.0 if share else -40.0)
         return model
-    x = np.zeros((len(rows), len(features)))
+    x = np.zeros((len(rows), 2 * len(features)))
     for k, r in enumerate(rows):
         x[k, list(r.found)] = 1
+        x[k, len(features) + np.array(r.found, int)] = r.weight
     y = np.array([r.label for r in rows], float)
     n = np.array([r["count"] for r in rows], float)
-    weights, bias = np.zeros(len(features)), math.log(max(share, 1e-6) / max(1 - share, 1e-6))
-    step = 4.0 / (1 + x.sum(axis=1).max())
-    for _ in range(1500):
-        error = n * (sigmoid(x @ weights + bias) - y)
-        # Toxic marks only add to a score.
-        weights = np.maximum(0, weights - step * ((x.T @ error) / total + 1e-5 * weights) * 8)
-        bias -= step * error.sum() / total * 8
+    weights, bias = np.zeros(x.shape[1]), math.log(max(share, 1e-6) / max(1 - share, 1e-6))
+    state = np.zeros((2, x.shape[1] + 1))
+    for step in range(1, 501):
+        error = n * (sigmoid(x @ weights + bias) - y) / total
+        slope = np.append(x.T @ error + 1e-4 * weights, error.sum())
+        state[0] += 0.1 * (slope - state[0])
+        state[1] += 0.001 * (slope**2 - state[1])
+        move = 0.1 * state[0] / (1 - 0.9**step) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-9)
+        # Marks of toxic documents only add to a score.
+        weights, bias = np.maximum(0, weights - move[:-1]), bias - move[-1]
     model.weights, model.bias = weights, float(bias)
     return model
 
