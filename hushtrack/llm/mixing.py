@@ -20,6 +20,7 @@ TOPICS = (("license", ("icensed under", "ll rights reserved")), ("contact", ("@"
 OTHER_TOPIC = "prose"
 NO_VALUE = "(none)"
 _ROUNDS_PER_WRITE = 3
+_CALIBRATIONS = 12
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,8 @@ class Targets:
     lang: float = 0.7
     topic: float = 0.7
     rounds: int = 12
+    #: Expected share of all tokens that is kept.
+    keep: float = 0.8
 
 
 def topic_of(text: Column) -> Column:
@@ -59,7 +62,11 @@ def described(docs: DataFrame, prefix: str = "") -> DataFrame:
 
 
 def raked(cells: DataFrame, targets: Targets) -> DataFrame:
-    """Cells (source, lang, topic, tokens) with share, weight (both sum to one) and probability."""
+    """Cells (source, lang, topic, tokens) with share, weight (both sum to one) and probability.
+
+    Probabilities are in proportion to weight / share, cut at one, and calibrated so that the
+    expected share of the tokens kept is the target: what the cut loses the other cells make up for.
+    """
     total = _first(cells.agg(F.sum("tokens")))
     cells = cells.withColumn("share", F.col("tokens") / F.lit(total))
     for m in MARGINS:
@@ -75,8 +82,14 @@ def raked(cells: DataFrame, targets: Targets) -> DataFrame:
         if (k + 1) % _ROUNDS_PER_WRITE == 0 or k + 1 == targets.rounds:
             cells = shared(cells, "raked")
     ratio = F.col("weight") / F.col("share")
-    top = _first(cells.agg(F.max(ratio)))
-    return cells.withColumn("probability", F.round(ratio / F.lit(top), 9))
+    factor = targets.keep
+    for _ in range(_CALIBRATIONS):
+        sure = ratio * factor >= 1
+        parts = cells.agg(F.sum(F.when(sure, F.col("share"))), F.sum(F.when(~sure, F.col("weight")))).first()
+        if not parts or not parts[1]:
+            break
+        factor = max(targets.keep - float(parts[0] or 0.0), 0.0) / float(parts[1])
+    return cells.withColumn("probability", F.round(F.least(F.lit(1.0), ratio * factor), 9))
 
 
 def _first(df: DataFrame) -> float:
@@ -101,8 +114,8 @@ def mixture(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, lang, topic, n_tokens, weight, probability, kept.
 
     weight is the raked share of the document's cell in all tokens; a document is kept if a number
-    in [0, 1) derived from its doc_id is below the cell's probability, which is the raked over the
-    present weight, rescaled so that the largest is one. Rows that repeat a doc_id in one cell are
+    in [0, 1) derived from its doc_id is below the cell's probability, which is in proportion to the
+    raked over the present weight. Rows that repeat a doc_id in one cell are
     kept or dropped together, null doc_ids likewise. A null source or language is a value of its
     own, a null text is empty (one token). An empty table gives an empty result.
     """
@@ -154,7 +167,13 @@ def mixture_sql(documents: str = "documents", targets: Targets = Targets()) -> s
                 f"w{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (weight), weight * t_{m} / sum(weight) OVER (PARTITION BY m_{m}) AS weight FROM w{n})"
             )
             n += 1
-    steps.append(f"cells AS (SELECT *, round(weight / share / (SELECT max(weight / share) FROM w{n}), 9) AS probability FROM w{n})")
+    steps.append(f"f0 AS (SELECT {targets.keep!r}::DOUBLE AS f)")
+    for k in range(_CALIBRATIONS):
+        steps.append(
+            f"f{k + 1} AS MATERIALIZED (SELECT coalesce(greatest({targets.keep!r} - coalesce(sum(share) FILTER (weight / share * f >= 1), 0), 0)"
+            f" / nullif(sum(weight) FILTER (weight / share * f < 1), 0), any_value(f)) AS f FROM w{n}, f{k})"
+        )
+    steps.append(f"cells AS (SELECT w.*, round(least(1.0, weight / share * f), 9) AS probability FROM w{n} w, f{_CALIBRATIONS})")
     steps.append(
         f"drawn AS (SELECT d.*, c.weight AS m_weight, c.probability AS m_probability, "
         f"CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '{NO_VALUE}')), 1, 8) AS BIGINT) / 4294967296.0 < c.probability AS m_kept "
