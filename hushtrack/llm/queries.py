@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, quality, secret_scan, toxicity
+from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, quality, secret_scan, suffixes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(spark, docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.document_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -65,7 +70,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op6_quality, op7_toxicity, op9_document_fingerprints, op10_mix_sources)
+    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op6_quality, op7_toxicity, op8_suffix_dedup, op9_document_fingerprints, op10_mix_sources)
 }
 
 _FLAT = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0d]', '', 'g')"
