@@ -120,7 +120,7 @@ def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 def front_coded(words: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     """What each key does not share with the one before it, one after the other."""
-    raw = np.ascontiguousarray(words.T).astype(">u8").view(np.uint8).reshape(words.shape[1], -1)[:, :GRAM]
+    raw = np.ascontiguousarray(words.T).astype(">u8").view(np.uint8).reshape(words.shape[1], 8 * words.shape[0])[:, :GRAM]
     return raw[np.arange(GRAM)[None, :] >= lcp[:, None]]
 
 
