@@ -5,7 +5,7 @@ that occurs in many documents falls into the same chunks wherever it stands. A c
 seen before is not encoded again; of a new chunk, only words that the task has not seen are. Cuts
 fall anywhere, so the word around a join is broken: the join is repaired by encoding that word anew
 and comparing with the encoding of a window that also holds a whole word from either side. Where they
-disagree (a tokenizer whose tokens reach across blanks) the window is the whole text.
+disagree the window is the whole text, as it is for tokenizers that keep the blanks between words.
 
 Chunks are reused within a task. Sending texts about, so that chunks meet over all tasks, would
 shuffle the corpus to save a fraction of the encoding; so nothing is shuffled here.
@@ -103,6 +103,9 @@ class ChunkEncoder:
         self.tokenizer, self.bits = tokenizer, bits
         self.joins = tokenizer.decoder is None
         self.model = tokenizer.model if _splits_words(tokenizer) else None
+        # Chunks are encoded word by word, which suits tokenizers that drop the blanks between words.
+        apart = b"".join(self.whole(w) for w in ("ab", "c"))
+        self.drops_blanks = all(self.whole(f"ab{c}c{c}") == apart for c in map(chr, _BLANK))
         marks = [re.escape(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values()]
         self.marks = re.compile(b"|".join(marks) or b"(?!)")
         self.pieces: dict[str, tuple[bytes, str]] = {}
@@ -192,6 +195,8 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Token ids as little-endian unsigned 32-bit integers, and the decoded text."""
+        if not self.drops_blanks:
+            return self._plain(text)
         data = text.encode()
         ids: list[bytes] = []
         told: list[str] = []
