@@ -12,6 +12,8 @@ reading back undoes it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,23 +43,28 @@ def branches(messages: DataFrame) -> DataFrame:
         "tree", "id", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"), "score"
     )
     jump = shared(jump, "jump")
-    while not jump.where("up is not null").isEmpty():
-        above = jump.select(
+    reached = [jump.where("up is null")]
+    steps = 1
+    # Only paths that have not reached their root join once more; those that have are set aside.
+    while not (climbing := jump.where("up is not null")).isEmpty():
+        if steps > 1 << 40:
+            raise ValueError("the replies form a circle")
+        above = reduce(DataFrame.unionByName, reached, climbing).select(
             "tree", F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2")
         )
-        # A path that has reached its root joins nothing more.
         jump = shared(
-            jump.join(above, ["tree", "up"], "left").select(
+            climbing.join(above, ["tree", "up"]).select(
                 "tree",
                 "id",
                 F.col("up2").alias("up"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
+                (F.col("depth") + F.col("depth2")).alias("depth"),
+                (F.col("score") + F.col("score2")).alias("score"),
             ),
             "jump",
         )
-        if jump.agg(F.max("depth")).first()[0] > 1 << 40:
-            raise ValueError("the replies form a circle")
+        reached.append(jump.where("up is null"))
+        steps *= 2
+    jump = reduce(DataFrame.unionByName, reached)
     parents = nodes.where("parent is not null").select("tree", F.col("parent").alias("id")).distinct()
     return jump.join(parents, ["tree", "id"], "left_anti").select("tree", F.col("id").alias("leaf"), "depth", "score")
 
@@ -97,7 +104,7 @@ def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
         top = leaves.groupBy("tree").agg(F.min(order).alias("o")).withColumn("rank", F.lit(1))
     else:
         # Ranked in parts first: a tree may have any number of leaves.
-        part = Window.partitionBy("tree", F.pmod(F.xxhash64("leaf"), F.lit(256))).orderBy("o")
+        part = Window.partitionBy("tree", F.pmod(F.xxhash64("o.leaf"), F.lit(256))).orderBy("o")
         top = leaves.select("tree", order.alias("o")).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= best)
         top = top.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy("o"))).where(F.col("rank") <= best)
     chosen = shared(top.select("tree", "rank", F.col("o.leaf").alias("leaf"), (-F.col("o.low")).alias("score")), "chosen")
