@@ -70,17 +70,19 @@ _NO_END = ", ".join(f"NULL AS end_{c}" for c in MESSAGE_COLUMNS.split(", ") if c
 _COUNTS = ", ".join(COUNT_COLUMNS)
 
 
-def closed(threshold_h: float, where: str = "true", source: str = "paired") -> str:
-    """Closed gaps without the distance columns."""
-    return f"""SELECT {gap_id()} AS gap_id, ssvid, {_COUNTS}, (end_us - us) / 3.6e9 AS duration_h,
+def closed(threshold_h: float, where: str = "true", source: str = "paired", more: str = "") -> str:
+    """Closed gaps without the distance columns; ``more`` names further key columns."""
+    return f"""SELECT {gap_id()} AS gap_id, ssvid, {more and more + ", "}{_COUNTS}, (end_us - us) / 3.6e9 AS duration_h,
     {_START}, {_END}, true AS is_closed
   FROM {source} WHERE end_us - us > {round(threshold_h * HOUR)} AND {where}"""
 
 
-def still_open(threshold_h: float, end: str | None = None, where: str = "true", source: str = "paired") -> str:
-    """Open gaps without the distance columns."""
+def still_open(
+    threshold_h: float, end: str | None = None, where: str = "true", source: str = "paired", more: str = ""
+) -> str:
+    """Open gaps without the distance columns; ``more`` names further key columns."""
     limit = "(us // 86400000000 + 1) * 86400000000" if end is None else f"epoch_us(TIMESTAMP '{end}')"
-    return f"""SELECT {gap_id()} AS gap_id, ssvid, {_COUNTS}, CAST(NULL AS DOUBLE) AS duration_h,
+    return f"""SELECT {gap_id()} AS gap_id, ssvid, {more and more + ", "}{_COUNTS}, CAST(NULL AS DOUBLE) AS duration_h,
     {_START}, {_NO_END}, false AS is_closed
   FROM {source} WHERE end_us IS NULL AND {limit} - us > {round(threshold_h * HOUR)} AND {where}"""
 

@@ -12,11 +12,17 @@ from pyspark.sql import types as T
 from hushtrack import schemas
 from hushtrack.functions import text, units
 from hushtrack.functions.cells import cell
-from hushtrack.functions.time import epoch_seconds
+from hushtrack.functions.time import as_date, epoch_seconds
 from hushtrack.operators import versions
 from hushtrack.operators.detect import Settings, close_open_gaps, detect_gaps, open_gaps, run_window
 from hushtrack.plans import publish, reports
-from hushtrack.plans.detect_job import DetectConfig, segments_readiness
+from hushtrack.plans.detect_job import (
+    DetectConfig,
+    read_messages,
+    read_open_gaps,
+    segment_filter,
+    segments_readiness,
+)
 from hushtrack.sources import messages as sources
 from hushtrack.sources import tables
 from hushtrack.storage import fresh_path, written
@@ -137,6 +143,63 @@ def messages_union(spark, sf_dir):
     return sources.union_sources([full, narrow])
 
 
+_SOME_VESSELS = [str(k) for k in range(0, 3000, 2)]
+
+
+@query(
+    "messages_of_vessels",
+    sql.with_cte(
+        sql.MESSAGES,
+        body=f"SELECT {sql.MESSAGE_COLUMNS}, 'long' AS list FROM messages WHERE CAST(ssvid AS BIGINT) % 2 = 0 AND CAST(ssvid AS BIGINT) < 3000 "
+        f"UNION ALL SELECT {sql.MESSAGE_COLUMNS}, 'short' FROM messages WHERE ssvid IN ('0', '2', '4')",
+    ),
+)
+def messages_of_vessels(spark, sf_dir):
+    """A long and a short list of vessels give the same columns."""
+    raw = derived.raw_messages(spark, sf_dir)
+    long = sources.select_messages(raw, ssvids=_SOME_VESSELS).withColumn("list", F.lit("long"))
+    return long.union(sources.select_messages(raw, ssvids=_SOME_VESSELS[:3]).withColumn("list", F.lit("short")))
+
+
+@query(
+    "messages_mixed_sources",
+    sql.with_cte(
+        sql.MESSAGES,
+        sql.SEGS,
+        body=f"SELECT {sql.MESSAGE_COLUMNS} FROM messages WHERE CAST(ssvid AS BIGINT) % 2 = 0 AND seg_id IN "
+        f"(SELECT seg_id FROM segs_activity WHERE good_seg2) UNION ALL "
+        f"SELECT {sql.MESSAGE_COLUMNS.replace('seg_id', 'NULL')} FROM messages WHERE CAST(ssvid AS BIGINT) % 2 = 1",
+    ),
+)
+def messages_mixed_sources(spark, sf_dir):
+    """A table whose segments are filtered beside JSON lines that know no segments."""
+    raw = derived.raw_messages(spark, sf_dir)
+    odd = F.pmod(F.col("ssvid").cast("bigint"), F.lit(2)) == 1
+    path = fresh_path(spark, "mixed-json")
+    raw.where(odd).drop("seg_id").withColumn("timestamp", epoch_seconds("timestamp")).write.json(path)
+    config = DetectConfig(
+        FIRST,
+        "2024-02-01",
+        messages=raw.where(~odd),
+        segments=derived.segs_activity(spark, sf_dir),
+        json_messages=path,
+        filter_good_seg=True,
+    )
+    return segment_filter(spark, config)(read_messages(spark, config))
+
+
+@query("messages_multiline", sql.with_cte(sql.MESSAGES, body=f"SELECT {sql.MESSAGE_COLUMNS} FROM messages"))
+def messages_multiline(spark, sf_dir):
+    """Files that hold one JSON array each."""
+    raw = derived.raw_messages(spark, sf_dir).withColumn("timestamp", epoch_seconds("timestamp"))
+    path = fresh_path(spark, "messages-arrays")
+    file = F.pmod(F.xxhash64("msgid"), F.lit(64)).alias("file")
+    arrays = raw.groupBy(file).agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
+    arrays.write.partitionBy("file").text(path)
+    read = sources.read_json_messages(spark, f"{path}/*/*.txt", lines=False)
+    return sources.select_messages(read)
+
+
 # ------------------------------------------------------------------ detection
 
 _CLOSED = sql.with_cte(sql.MESSAGES, sql.paired(), body=sql.closed(12))
@@ -303,7 +366,7 @@ def one_run(spark, sf_dir):
 
 @query(
     "composite_key_gaps",
-    sql.with_cte(sql.MESSAGES, sql.paired("ssvid, vessel_id"), body=sql.closed(12)),
+    sql.with_cte(sql.MESSAGES, sql.paired("ssvid, vessel_id"), body=sql.closed(12, more="vessel_id")),
 )
 def composite_key_gaps(spark, sf_dir):
     vessel = derived.segment_info(spark, sf_dir)
@@ -312,6 +375,64 @@ def composite_key_gaps(spark, sf_dir):
     return _plain(gaps, "start_vessel_id", "end_vessel_id")
 
 
+_ENDS = [c for c in sql.MESSAGE_COLUMNS.split(", ") if c != "ssvid"]
+
+
+@query(
+    "composite_key_run",
+    sql.with_cte(
+        sql.MESSAGES,
+        _before(MIDDLE),
+        sql.paired("ssvid, vessel_id", source="earlier", name="paired_a"),
+        f"known AS ({sql.still_open(6, MIDDLE, sql.since(FIRST, 6), 'paired_a', 'vessel_id')})",
+        f"""firsts AS (SELECT ssvid, vessel_id, us AS first_us, {', '.join(f'{c} AS end_{c}' for c in _ENDS)}
+  FROM messages WHERE timestamp >= TIMESTAMP '{MIDDLE}'
+  QUALIFY row_number() OVER (PARTITION BY ssvid, vessel_id ORDER BY us, msgid, seg_id) = 1)""",
+        body=f"""SELECT k.* REPLACE ((first_us - epoch_us(k.start_timestamp)) / 3.6e9 AS duration_h, true AS is_closed,
+  {', '.join(f'f.end_{c} AS end_{c}' for c in _ENDS)}) FROM known k JOIN firsts f USING (ssvid, vessel_id)""",
+    ),
+)
+def composite_key_run(spark, sf_dir):
+    """Gaps of a key of two columns: opened by one run, closed by the next."""
+    tracks = _messages(spark, sf_dir).join(derived.segment_info(spark, sf_dir), "seg_id")
+    settings = Settings(threshold_h=6, keys=("ssvid", "vessel_id"))
+    early = tracks.where(F.col("timestamp") < F.lit(MIDDLE).cast("timestamp"))
+    known = open_gaps(early, settings, (FIRST, MIDDLE))
+    return _plain(close_open_gaps(known, tracks, (MIDDLE, LAST), settings), "start_vessel_id", "end_vessel_id")
+
+
+_ODD_HOURS = 31 / 7
+
+
+@query(
+    "positions_before_odd_hours",
+    sql.with_cte(
+        sql.MESSAGES,
+        sql.paired(n_us=round(_ODD_HOURS * sql.HOUR)),
+        body=f"SELECT ssvid, timestamp AS start_timestamp, {', '.join(schemas.COUNT_COLUMNS)} FROM paired "
+        f"WHERE end_us - us > {4 * sql.HOUR}",
+    ),
+)
+def positions_before_odd_hours(spark, sf_dir):
+    """A look-back that is no whole number of slots of whole microseconds."""
+    gaps = detect_gaps(_messages(spark, sf_dir), Settings(threshold_h=4, n_hours_before=_ODD_HOURS))
+    return gaps.select("ssvid", "start_timestamp", *schemas.COUNT_COLUMNS)
+
+
+@query("open_gaps_ntz", sql.with_cte(sql.MESSAGES, sql.paired(), body=sql.still_open(6)))
+def open_gaps_zoneless(spark, sf_dir):
+    """Times without a zone."""
+    zoneless = _messages(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return _plain(open_gaps(zoneless, Settings(threshold_h=6)))
+
+
+@query("gaps_json_roundtrip", _CLOSED)
+def gaps_json_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "gaps-json")
+    tables.write_json(detect_gaps(_messages(spark, sf_dir)), path)
+    return _plain(tables.read_json_gaps(spark, path))
+
+
 # ------------------------------------------------------------------ the versioned table
 
 
@@ -381,6 +502,34 @@ def gaps_carried_open(spark, sf_dir):
     return versions.carried_open_gaps(_history(spark, sf_dir), "2024-01-05").drop(*_DISTANCE)
 
 
+@query(
+    "open_gaps_source",
+    sql.with_cte(*_TWO_RUNS, body=f"SELECT * FROM ({_LATEST}) WHERE NOT is_closed"),
+)
+def open_gaps_source(spark, sf_dir):
+    """Open gaps to carry, from JSON lines rather than from the table."""
+    path = fresh_path(spark, "open-json")
+    tables.write_json(_history(spark, sf_dir), path)
+    raw = derived.raw_messages(spark, sf_dir)
+    config = DetectConfig(MIDDLE, LAST, messages=raw, segments=derived.segs_activity(spark, sf_dir), json_open_gaps=path)
+    return read_open_gaps(spark, config).drop(*_DISTANCE)
+
+
+@query("rerun_from_date", sql.with_cte(*_TWO_RUNS, body=_LATEST))
+def rerun_from_date(spark, sf_dir):
+    """Two runs, then the second once more: what it creates again is deleted first."""
+    config = DetectConfig(
+        start_date=FIRST,
+        end_date=LAST,
+        messages=derived.raw_messages(spark, sf_dir),
+        segments=written(derived.segs_activity(spark, sf_dir), "segments"),
+        gaps_path=fresh_path(spark, "rerun"),
+        min_gap_length_h=6,
+    )
+    dates = [(as_date(FIRST), as_date(MIDDLE)), (as_date(MIDDLE), as_date(LAST)), (as_date(MIDDLE), as_date(LAST))]
+    return run_daily(spark, config, dates, version_of_range_end=True).drop(*_DISTANCE)
+
+
 @query(
     "gaps_delete",
     sql.with_cte(
@@ -397,14 +546,8 @@ def gaps_delete(spark, sf_dir):
     return table.read().drop("start_month", *_DISTANCE)
 
 
-_REPLAY_DAYS = 8
-
-_REPLAYED = f"""SELECT *, CASE WHEN is_closed THEN
-    least(date_trunc('day', end_timestamp) + to_days({_REPLAY_DAYS}
-      - CAST(date_diff('day', TIMESTAMP '{FIRST}', date_trunc('day', end_timestamp)) % {_REPLAY_DAYS} AS INTEGER)), TIMESTAMP '{LAST}')
-    ELSE least(date_trunc('day', start_timestamp + INTERVAL 6 HOUR) + to_days({_REPLAY_DAYS}
-      - CAST(date_diff('day', TIMESTAMP '{FIRST}', date_trunc('day', start_timestamp + INTERVAL 6 HOUR)) % {_REPLAY_DAYS} AS INTEGER)), TIMESTAMP '{LAST}')
-    END AS version FROM ({sql.closed(6)} UNION ALL {sql.still_open(6, LAST)})"""
+_REPLAYED = f"""SELECT *, date_trunc('day', CASE WHEN is_closed THEN end_timestamp
+    ELSE start_timestamp + INTERVAL 6 HOUR END) + INTERVAL 1 DAY AS version FROM ({sql.closed(6)} UNION ALL {sql.still_open(6, LAST)})"""
 
 
 @query("daily_replay", sql.with_cte(sql.MESSAGES, sql.paired(), body=_REPLAYED))
@@ -418,7 +561,7 @@ def daily_replay(spark, sf_dir):
         gaps_path=fresh_path(spark, "replay"),
         min_gap_length_h=6,
     )
-    latest = run_daily(spark, config, ranges(FIRST, LAST, _REPLAY_DAYS), version_of_range_end=True)
+    latest = run_daily(spark, config, ranges(FIRST, LAST), version_of_range_end=True)
     return latest.drop(*_DISTANCE)
 
 
@@ -436,7 +579,8 @@ def segments_ready(spark, sf_dir):
 
 # ------------------------------------------------------------------ publication
 
-_RANGE = ("2024-01-01", "2024-01-30")
+# All days of the data; messages_scan and gaps_closed_in_range test the filter by days.
+_RANGE = (FIRST, LAST)
 
 
 def _inputs(spark, sf_dir) -> publish.PublishInputs:
@@ -635,7 +779,7 @@ def gaps_per_day(spark, sf_dir):
         f"filtered AS ({sql.closed(6, source='paired_good')})",
         "a AS (SELECT strftime(start_timestamp, '%Y-%m-01') AS month, count(*) AS gaps_filtered FROM filtered GROUP BY 1)",
         "b AS (SELECT strftime(start_timestamp, '%Y-%m-01') AS month, count(*) AS gaps_unfiltered FROM gaps GROUP BY 1)",
-        body="SELECT *, CAST(round(avg(difference) OVER ()) AS BIGINT) AS average_difference FROM "
+        body="SELECT *, CAST(round_even(avg(difference) OVER (), 0) AS BIGINT) AS average_difference FROM "
         "(SELECT month, gaps_filtered, gaps_unfiltered, abs(gaps_filtered - gaps_unfiltered) AS difference FROM a JOIN b USING (month))",
     ),
 )

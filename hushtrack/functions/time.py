@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS_PER_SECOND = 1_000_000
@@ -46,6 +46,23 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def as_instant(df: DataFrame, column: str) -> Column:
+    """A timestamp column as an instant; one without a zone is UTC whatever the session's zone."""
+    if dict(df.dtypes)[column] != "timestamp_ntz":
+        return F.col(column).cast("timestamp")
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{column}`)"))
+
+
+def instant_for(df: DataFrame, column: str, value: date | datetime | str | int) -> Column:
+    """Literal of the column's own type for an instant (or its microseconds), so that comparisons
+    with it reach the scan."""
+    us = value if isinstance(value, int) else instant_micros(value)
+    if dict(df.dtypes)[column] != "timestamp_ntz":
+        return F.timestamp_micros(F.lit(us))
+    wall = (_EPOCH + timedelta(microseconds=us)).replace(tzinfo=None)
+    return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def instant(value: date | datetime | str) -> Column:
     """Timestamp literal; folds to a constant, so comparisons with it reach the scan."""
     return F.timestamp_micros(F.lit(instant_micros(value)))

@@ -16,7 +16,8 @@ from hushtrack.functions.time import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
     hours_to_micros,
-    instant,
+    as_instant,
+    instant_for,
     instant_micros,
     micros,
     whole_second,
@@ -60,6 +61,14 @@ class Settings:
     normalize_output: bool = True
     limits: Limits = field(default_factory=Limits)
 
+    def __post_init__(self) -> None:
+        if self.threshold_h < 0 or self.n_hours_before < 0:
+            raise ValueError("threshold_h and n_hours_before cannot be negative")
+        if not self.keys:
+            raise ValueError("at least one key column is needed")
+        if self.bucket_days is not None and not self.bucket_days > 0:
+            raise ValueError("bucket_days must be positive")
+
 
 def detect_gaps(
     messages: DataFrame, settings: Settings = Settings(), start_time: date | datetime | str | None = None
@@ -127,7 +136,7 @@ def prepare(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
     Rows without a key or a timestamp belong to no track and are left out.
     """
     if dict(messages.dtypes)["timestamp"] != "timestamp":
-        messages = messages.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        messages = messages.withColumn("timestamp", as_instant(messages, "timestamp"))
     known = F.col("timestamp").isNotNull()
     for key in keys:
         known &= F.col(key).isNotNull()
@@ -151,13 +160,13 @@ def _run(
     require_columns(messages, keys)
     if date_range is not None:
         start_us, end_us = (instant_micros(d) for d in date_range)
-        messages = messages.where(F.col("timestamp") < instant(date_range[1]))
+        messages = messages.where(F.col("timestamp") < instant_for(messages, "timestamp", date_range[1]))
         earliest_off_us = start_us - threshold_us
     if date_range is None:
         known_open = None  # without a range there is no first message to close a gap with
     if earliest_off_us is not None:
         # Nothing before the look-back of the earliest gap matters; the scan can skip it.
-        oldest = F.timestamp_micros(F.lit(earliest_off_us - look_back_us))
+        oldest = instant_for(messages, "timestamp", earliest_off_us - look_back_us)
         messages = messages.where(F.col("timestamp") >= oldest)
 
     rules = Rules(
@@ -177,15 +186,14 @@ def _run(
         picked = written(pick_open_gap(known_open, keys), "open-gaps")
     kept = tracks if keep is None else keep(tracks)
     found = find(kept, rules, keys, settings, picked)
-    found_rows = found.count()  # read from the file footers
-    filled = fill(tracks, found, found_rows, rules, keys, settings.limits, keep)
+    filled = fill(tracks, found, rules, keys, settings.limits, keep)
     return create_gaps(filled, settings, tracks, picked)
 
 
 def find(
     tracks: DataFrame, rules: Rules, keys: Sequence[str], settings: Settings, picked: DataFrame | None
 ) -> DataFrame:
-    """First pass, written to the shared folder: its exact size decides the second pass."""
+    """First pass, written to the shared folder: the second pass takes it in ranges of time."""
     summary = slot_summary(tracks, keys, rules.grid)
     if settings.bucket_days is None:
         rows = neighbours(summary, keys, rules.grid)
@@ -234,6 +242,8 @@ def create_gaps(
     columns = {
         "gap_id": text.gap_id("off.ssvid", "off_us", "off.lat", "off.lon"),
         "ssvid": "off.ssvid",
+        # A track's key is part of its gaps, so that an open one can be closed by a later run.
+        **{k: f"off.`{k}`" for k in keys if k != "ssvid"},
         **{name: c for c, name in _COUNT_OF.items()},
         **{f"start_{c}": f"off.`{c}`" for c in fields},
     }

@@ -13,16 +13,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hushtrack.operators.joins import Limits, sized_join
+from hushtrack.operators.joins import Limits, slot_ranges
 from hushtrack.operators.slots import COUNTS, Rules, quoted
 from hushtrack.schemas import RECEIVER_TYPES, TIE_BREAK
+from hushtrack.storage import fresh_path
 
 # What a request is for, as a byte: messages to count, or a whole message to fetch.
 _COUNT, _OFF, _ON, _FIRST = "0Y", "1Y", "2Y", "3Y"
 
-# Each silence makes at most this many requests.
-REQUESTS_PER_SILENCE = 5
-
 
 def requests(found: DataFrame, rules: Rules, keys: Sequence[str]) -> DataFrame:
     """One row per silence, slot and purpose.
@@ -58,7 +56,6 @@ def requests(found: DataFrame, rules: Rules, keys: Sequence[str]) -> DataFrame:
 def fill(
     messages: DataFrame,
     found: DataFrame,
-    found_rows: int,
     rules: Rules,
     keys: Sequence[str],
     limits: Limits,
@@ -66,6 +63,9 @@ def fill(
 ) -> DataFrame:
     """Messages at the ends of each silence and its look-back counts.
 
+    Requests are broadcast, so that messages are not shuffled, however many requests there are: they
+    are taken in ranges of slots that fit, and each range reads only the messages of its time.
+
     ``keep`` filters rows; it was applied to the messages of the first pass already.
 
     Columns: the keys, ``off`` and ``on`` (whole messages), their instants, the counts, and
@@ -73,17 +73,24 @@ def fill(
     """
     ties = [c for c in TIE_BREAK if c in messages.columns]
     payload = ties + [c for c in messages.columns if c not in ("_us", *ties)]
-    hits = sized_join(
-        messages.selectExpr("*", f"{rules.grid.slot()} as _slot"),
-        requests(found, rules, keys),
-        [*keys, "_slot"],
-        F.expr("_us between _from and _to"),
-        found_rows * REQUESTS_PER_SILENCE,
-        limits,
-    )
-    if keep is not None:
-        hits = keep(hits)
-    return _records(_answers(hits, keys, payload), keys)
+    wanted = requests(found, rules, keys)
+    ranges = slot_ranges(wanted, keys, limits)
+
+    def answers(asked: DataFrame, told: DataFrame) -> DataFrame:
+        slotted = told.selectExpr("*", f"{rules.grid.slot()} as _slot")
+        hits = slotted.join(F.broadcast(asked), [*keys, "_slot"]).where("_us between _from and _to")
+        return _answers(hits if keep is None else keep(hits), keys, payload)
+
+    if len(ranges) <= 1:
+        return _records(answers(wanted, messages), keys)
+    path = fresh_path(messages.sparkSession, "answers")
+    for r in ranges:
+        low, high = rules.grid.start(r.first), rules.grid.start(r.last + 1)
+        near = messages.where(
+            (F.col("timestamp") >= F.timestamp_micros(F.lit(low))) & (F.col("timestamp") < F.timestamp_micros(F.lit(high)))
+        )
+        answers(wanted.where(r.where(keys)), near).write.mode("append").parquet(path)
+    return _records(messages.sparkSession.read.parquet(path), keys)
 
 
 def _answers(hits: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:

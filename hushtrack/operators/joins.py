@@ -1,70 +1,62 @@
-"""Join of a very large table with a smaller one whose size is known, safe against hot keys."""
+"""Join of a very large table with requests by time slot, in ranges of slots that can be broadcast."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hushtrack.storage import written
-
 
 @dataclass(frozen=True)
 class Limits:
     """Sizes at which the physical strategy changes. They never change a result."""
 
-    # A side with at most this many (narrow) rows is broadcast.
-    broadcast_rows: int = 2_000_000
-    # A join key with more rows than this on the large side is split into several.
-    hot_rows: int = 5_000_000
-
-
-def sized_join(
-    large: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    condition: Column,
-    small_rows: int,
-    limits: Limits = Limits(),
-) -> DataFrame:
-    """Inner join on ``on`` and ``condition``; ``small_rows`` bounds the rows of ``small``.
-
-    Within the broadcast limit the large side is not shuffled at all. Beyond it both sides are
-    shuffled, and every key that is hot on the large side is salted: its rows are spread over
-    ``count / hot_rows`` parts and the matching small rows are repeated for each part. The list of
-    hot keys is found by a count with map-side combine, and there are at most
-    ``rows(large) / hot_rows`` of them, so it can be broadcast however large the tables are.
-    """
-    on = list(on)
-    if small_rows <= limits.broadcast_rows:
-        return _joined(large, F.broadcast(small), on, condition)
-
-    hot = (
-        large.groupBy(*on)
-        .count()
-        .where(F.col("count") > limits.hot_rows)
-        .select(*on, F.ceil(F.col("count") / limits.hot_rows).cast("int").alias("_parts"))
-    )
-    hot = F.broadcast(written(hot, "hot-keys"))
-    # The value hash spreads different rows, the partition id spreads copies of one row; neither
-    # depends on the order of rows, so a recomputed task salts its rows the same way.
-    spread = F.xxhash64(*large.columns, F.spark_partition_id())
-    salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(spread, F.col("_parts")))
-    salted_large = (
-        large.join(hot, on, "left").withColumn("_salt", salt.cast("int")).drop("_parts")
-    )
-    last_part = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-    salted_small = (
-        small.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_part)))
-        .drop("_parts")
-    )
-    return _joined(salted_large, salted_small, [*on, "_salt"], condition).drop("_salt")
-
-
-def _joined(left: DataFrame, right: DataFrame, on: list[str], condition: Column) -> DataFrame:
-    # The condition names columns of either side, which do not clash: filter above the join and
-    # let the optimizer fold it into the join.
-    return left.join(right, on, "inner").where(condition)
+    # Requests that are broadcast at once, in bytes as they lie in memory.
+    broadcast_bytes: int = 128 << 20
+
+
+@dataclass(frozen=True)
+class SlotRange:
+    """Requests of the slots from first to last whose key falls in one of so many parts."""
+
+    first: int
+    last: int
+    part: int = 0
+    parts: int = 1
+
+    def where(self, keys: Sequence[str]) -> str:
+        inside = f"_slot between {self.first}L and {self.last}L"
+        names = ", ".join(f"`{k}`" for k in keys)
+        return inside if self.parts == 1 else f"{inside} and pmod(xxhash64({names}), {self.parts}) = {self.part}"
+
+
+def slot_ranges(requests: DataFrame, keys: Sequence[str], limits: Limits) -> list[SlotRange]:
+    """Ranges of slots whose requests fit the limit. There is one row per slot of time to gather, which
+    is bounded by the time span and not by the number of messages or tracks."""
+    fixed = 16 + sum(24 if t == "string" else 8 for _, t in requests.dtypes)
+    texts = [F.octet_length(c) for c, t in requests.dtypes if t == "string"]
+    size = F.sum(sum(texts, F.lit(fixed)))
+    sizes = requests.groupBy("_slot").agg(size.alias("bytes")).orderBy("_slot").collect()
+    return list(_ranges([(r["_slot"], r["bytes"]) for r in sizes], limits.broadcast_bytes))
+
+
+def _ranges(sizes: list[tuple[int, int]], most: int) -> Iterator[SlotRange]:
+    first = last = None
+    held = 0
+    for slot, size in sizes:
+        if first is not None and held + size > most:
+            yield from _parts(first, last, held, most)
+            first, held = None, 0
+        first = slot if first is None else first
+        last, held = slot, held + size
+    if first is not None:
+        yield from _parts(first, last, held, most)
+
+
+def _parts(first: int, last: int, size: int, most: int) -> Iterator[SlotRange]:
+    # Only a single slot can be too large; its tracks are dealt out by their hash.
+    parts = -(-size // most)
+    for part in range(parts):
+        yield SlotRange(first, last, part, parts)

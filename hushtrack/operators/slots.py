@@ -6,13 +6,14 @@ plain hash aggregate with map-side combine: it reads three narrow columns, absor
 chatty vessels before the shuffle, and leaves at most ``time span / slot`` rows per vessel however
 many messages that vessel sent. The windows below run over those rows, never over messages.
 
-The slot width also divides the look-back period, so the look-back of a gap is a whole number of
-slots plus a part of the first and of the last one. Whole slots are summed here; the parts are
+The look-back period is a whole number of slots, so the look-back of a gap is that many slots, or all but one of them
+plus a part of the first and of the last one. Whole slots are summed here; the parts are
 counted in the second pass (``hushtrack.operators.fill``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,26 +33,45 @@ def quoted(names: Sequence[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class Grid:
-    """Slots of ``width`` microseconds counted from ``anchor``; ``reach`` of them per look-back."""
+    """``parts`` slots to every ``period`` microseconds, counted from ``anchor``.
 
-    width: int
+    A slot need not be a whole number of microseconds wide: the one of an instant is
+    ``floor((us - anchor) * parts / period)``. ``reach`` of them make a look-back.
+    """
+
+    period: int
+    parts: int
     reach: int
     anchor: int = 0
 
+    @property
+    def width(self) -> int:
+        """Width of a slot, rounded up."""
+        return -(-self.period // self.parts)
+
     @classmethod
     def of(cls, threshold_us: int, look_back_us: int, anchor_us: int = 0) -> Grid:
         widest = threshold_us + 1  # instants of one slot then differ by at most the threshold
         if look_back_us == 0:
-            return cls(widest, 0, anchor_us)
+            return cls(widest, 1, 0, anchor_us)
         reach = -(-look_back_us // widest)
-        while look_back_us % reach:
-            reach += 1
-        return cls(look_back_us // reach, reach, anchor_us)
+        common = math.gcd(look_back_us, reach)
+        period, parts = look_back_us // common, reach // common
+        if period * parts >= 1 << 62:
+            # Slots of one microsecond do for thresholds so small that products would overflow.
+            return cls(1, 1, look_back_us, anchor_us)
+        return cls(period, parts, reach, anchor_us)
+
+    def start(self, slot: int) -> int:
+        """First instant of a slot."""
+        return self.anchor - (-slot * self.period // self.parts)
 
     def slot(self, us: str = "_us") -> str:
-        """SQL of the slot of an instant; the dividend is a multiple of the width."""
+        """SQL of the slot of an instant: whole periods first, so that no product overflows."""
         offset = f"({us} - {self.anchor}L)"
-        return f"(({offset} - pmod({offset}, {self.width}L)) div {self.width}L)"
+        rest = f"pmod({offset}, {self.period}L)"
+        whole = f"(({offset} - {rest}) div {self.period}L)"
+        return f"({whole} * {self.parts}L + ({rest} * {self.parts}L) div {self.period}L)"
 
 
 @dataclass(frozen=True)

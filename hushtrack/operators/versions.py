@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +18,17 @@ GAP_KEY = ("gap_id", "start_timestamp")
 def last_versions(gaps: DataFrame) -> DataFrame:
     """Latest version of each gap, one row per gap; closed wins within one version.
 
-    An aggregate with map-side combine rather than a ranking window, so that a gap with very many
-    versions is reduced before the shuffle.
+    Rows are ranked by one fixed-width number (version, closed or not, hash of the row), so the
+    greatest rank of each gap is a hash aggregate over narrow rows. Whole rows are exchanged once, to
+    meet the rank of their gap, and never sorted; rows repeated as a whole become one.
     """
-    rest = [c for c in gaps.columns if c not in (*GAP_KEY, "version", "is_closed")]
-    row = F.struct("version", "is_closed", F.struct(*rest).alias("rest"))
-    latest = gaps.groupBy(*GAP_KEY).agg(F.max(row).alias("_row"))
-    where = {"version": F.col("_row.version"), "is_closed": F.col("_row.is_closed")}
-    where |= {c: F.col("_row.rest")[c] for c in rest}
-    return latest.select(*[where.get(c, F.col(c)).alias(c) for c in gaps.columns])
+    moment = F.coalesce(F.unix_micros("version"), F.lit(0)) * 2 + F.coalesce(F.col("is_closed").cast("long"), F.lit(0))
+    fields = [f"`{c}`" for c in gaps.columns]
+    rank = moment.cast("decimal(18,0)") * F.lit(Decimal(1 << 63)) + F.shiftrightunsigned(F.xxhash64(*fields), 1)
+    ranked = gaps.withColumn("_rank", rank.cast("decimal(38,0)"))
+    greatest = ranked.groupBy(*GAP_KEY).agg(F.max("_rank").alias("_greatest")).hint("shuffle_hash")
+    latest = ranked.join(greatest, list(GAP_KEY)).where("_rank = _greatest")
+    return latest.select(*fields).distinct()
 
 
 def last_versions_with_ties(gaps: DataFrame) -> DataFrame:
@@ -68,15 +71,15 @@ def since(gaps: DataFrame, start_date: date | str) -> Column:
 
 
 def to_be_recreated(start_date: date | str) -> Column:
-    """Gaps a run from this day on will create again; unknown means no."""
+    """Gaps a run from this day on will create again; null, which means no, where a time is null."""
     day = instant(start_date)
     closed, start, end = F.col("is_closed"), F.col("start_timestamp"), F.col("end_timestamp")
-    return F.coalesce((closed & (end >= day)) | (~closed & (start >= day)), F.lit(False))
+    return (closed & (end >= day)) | (~closed & (start >= day))
 
 
 def without_recreated(gaps: DataFrame, start_date: date | str) -> DataFrame:
     """The gaps that stay when a run starts again from a day."""
-    return gaps.where(~to_be_recreated(start_date))
+    return gaps.where(~F.coalesce(to_be_recreated(start_date), F.lit(False)))
 
 
 def carried_open_gaps(gaps: DataFrame, floor_date: date | str) -> DataFrame:

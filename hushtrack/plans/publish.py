@@ -12,10 +12,11 @@ from hushtrack.functions import text, units
 from hushtrack.functions.cells import cell
 from hushtrack.functions.time import MICROS_PER_DAY, as_date, instant_micros, micros
 from hushtrack.operators.regions import points_in_regions, regions_by_layer
+from hushtrack.operators.versions import since
 from hushtrack.schemas import EVENT
 from hushtrack.sources.messages import in_days
 from hushtrack.sources.tables import EventsTable, conform
-from hushtrack.storage import require_utc
+from hushtrack.storage import require_utc, written
 
 # Fixed value: start that marks a voyage whose beginning is not known.
 UNKNOWN_TRIP_START = "1979-01-01"
@@ -30,7 +31,7 @@ def gaps_to_publish(
     include_open: bool = False,
 ) -> DataFrame:
     """Gaps that start in the range and end before its end; open gaps only on request."""
-    chosen = gaps.where(in_days(gaps, "start_timestamp", start_date, None))
+    chosen = gaps if start_date is None else gaps.where(since(gaps, start_date))
     if end_date is not None:
         ended = in_days(gaps, "end_timestamp", None, end_date)
         started = in_days(gaps, "start_timestamp", None, end_date)
@@ -47,6 +48,8 @@ def segments_of_vessels(segment_info: DataFrame, segs_activity: DataFrame) -> Da
 
 def usable_voyages(voyages: DataFrame) -> DataFrame:
     """Voyages with a plausible (or no) start."""
+    # Without an end a voyage encloses nothing; without a vessel it has none.
+    voyages = voyages.where(F.col("trip_end").isNotNull() & F.col("vessel_id").isNotNull())
     start = F.col("trip_start")
     marker = F.lit(UNKNOWN_TRIP_START).cast("date").cast("timestamp")
     return voyages.where((start != marker) | start.isNull()).select(
@@ -95,12 +98,26 @@ def with_vessels(gaps: DataFrame, segments: DataFrame, vessels: DataFrame) -> Da
             F.col("vessel_id").alias(f"_{end}_vessel_id"), "year", about.alias(f"_{end}_vessel")
         )
 
-    return (
-        gaps.join(segment("start"), "start_seg_id", "left")
-        .join(vessel("start"), ["_start_vessel_id", "year"])
-        .join(segment("end"), "end_seg_id", "left")
-        .join(vessel("end"), ["_end_vessel_id", "year"], "left")
-    )
+    # A gap whose segment or vessel is not known at the start drops out, so that join is inner.
+    known = gaps.join(segment("start"), "start_seg_id").join(vessel("start"), ["_start_vessel_id", "year"])
+    known = left_of_known(known, segment("end"), ["end_seg_id"])
+    return left_of_known(known, vessel("end"), ["_end_vessel_id", "year"])
+
+
+def left_of_known(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """A left join for keys that are often null: a null key has a random value beside it, so that
+    such rows, which match nothing, are not sent to one task."""
+    spread = F.when(F.col(on[0]).isNull(), F.pmod(F.xxhash64("gap_id"), F.lit(1 << 20))).otherwise(F.lit(0))
+    left = left.withColumn("_spread", spread.cast("int"))
+    # Zero, but not a constant: the optimizer would take a constant out of the join's keys.
+    right = right.withColumn("_spread", F.pmod(F.xxhash64(on[0]), F.lit(1)).cast("int"))
+    key = F.coalesce(F.col(f"_l.{on[0]}"), F.lit("")) == F.col(f"_r.{on[0]}")
+    same = key & (F.col("_l._spread") == F.col("_r._spread")) & F.col(f"_l.{on[0]}").isNotNull()
+    for c in on[1:]:
+        same &= F.col(f"_l.{c}") == F.col(f"_r.{c}")
+    joined = left.alias("_l").join(right.alias("_r"), same, "left")
+    more = [F.col(f"_r.{c}") for c in right.columns if c not in (*on, "_spread")]
+    return joined.select(*[F.col(f"_l.{c}") for c in left.columns if c != "_spread"], *more)
 
 
 def gap_start_span(
@@ -147,8 +164,8 @@ def with_voyages(
 
 def with_port_visits(gaps: DataFrame, port_visits: DataFrame) -> DataFrame:
     """Add the port visit that ends the voyage."""
-    known = port_visits.where(F.col("_visit_id").isNotNull())
-    return gaps.join(known, F.col("trip_end_visit_id") == F.col("_visit_id"), "left")
+    known = port_visits.where(F.col("_visit_id").isNotNull()).withColumnRenamed("_visit_id", "trip_end_visit_id")
+    return left_of_known(gaps, known, ["trip_end_visit_id"])
 
 
 def event_info() -> Column:
@@ -276,10 +293,14 @@ def gap_events(
     include_open: bool = False,
     antimeridian_safe: bool = False,
 ) -> DataFrame:
-    """Gap events, ready to be published. Events outside all regions have no region struct."""
+    """Gap events, ready to be published. Events outside all regions have no region struct.
+
+    The events are written first: the search for regions and the result read them both.
+    """
     events = base_events(
         enriched_gaps(inputs, start_date, end_date, include_open), antimeridian_safe
     )
+    events = written(events, "events")
     of_regions = event_regions(events, inputs.regions).withColumnRenamed(
         "regions", "regions_mean_position"
     )

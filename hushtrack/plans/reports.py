@@ -30,7 +30,7 @@ def monthly_difference(filtered: DataFrame, unfiltered: DataFrame) -> DataFrame:
         "difference", F.abs(F.col("gaps_filtered") - F.col("gaps_unfiltered"))
     )
     # One row per month by now, so one partition is enough for the average.
-    average = F.round(F.avg("difference").over(Window.partitionBy())).cast("bigint")
+    average = F.bround(F.avg("difference").over(Window.partitionBy())).cast("bigint")
     return both.withColumn("average_difference", average)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hushtrack.functions import units
-from hushtrack.functions.time import as_date, instant
+from hushtrack.functions.time import as_date, instant_for
 from hushtrack.schemas import MESSAGE
 
 # JSON messages carry the time as a number of seconds or as text, so it is read as text.
@@ -20,9 +20,6 @@ _JSON_SCHEMA = T.StructType(
     + [T.StructField("type", T.StringType())]
 )
 
-# Lists longer than this are joined rather than compared one by one.
-_LONG_LIST = 1000
-
 
 def parse_time(value: Column) -> Column:
     """Epoch seconds (integer or float) or ``2024-01-01 10:00:00 UTC`` to an instant."""
@@ -56,18 +53,11 @@ def read_json_messages(
 
 def in_days(df: DataFrame, column: str, start: date | str | None, end: date | str | None) -> Column:
     """Half-open range of days on the raw timestamp column, so that it reaches the scan."""
-    zoneless = dict(df.dtypes)[column] == "timestamp_ntz"
-
-    def bound(day: date | str) -> Column:
-        if zoneless:
-            return F.lit(f"{as_date(day).isoformat()} 00:00:00").cast("timestamp_ntz")
-        return instant(day)
-
     condition = F.lit(True)
     if start is not None:
-        condition = F.col(column) >= bound(start)
+        condition = F.col(column) >= instant_for(df, column, as_date(start))
     if end is not None:
-        condition = condition & (F.col(column) < bound(end))
+        condition = condition & (F.col(column) < instant_for(df, column, as_date(end)))
     return condition
 
 
@@ -75,10 +65,8 @@ def of_vessels(df: DataFrame, ssvids: Sequence[str]) -> DataFrame:
     """Rows of the given vessels; an empty list keeps all."""
     if not ssvids:
         return df
-    if len(ssvids) <= _LONG_LIST:
-        return df.where(F.col("ssvid").isin(*ssvids))
-    wanted = df.sparkSession.createDataFrame([(s,) for s in set(ssvids)], "ssvid string")
-    return df.join(F.broadcast(wanted), "ssvid", "left_semi")  # the list came from the driver
+    # A set in the plan, whatever its length: the scan can use its bounds, and no column moves.
+    return df.where(F.col("ssvid").isin(*sorted(set(ssvids))))
 
 
 def good_segments(
@@ -103,6 +91,12 @@ def on_good_segments(
     return messages.join(good.select("seg_id"), "seg_id", "left_semi").select(*messages.columns)
 
 
+def on_good_segments_or_none(messages: DataFrame, **filters) -> DataFrame:
+    """The same for messages some sources of which know no segments: those without one stay."""
+    without = messages.where(F.col("seg_id").isNull())
+    return on_good_segments(messages.where(F.col("seg_id").isNotNull()), **filters).unionByName(without)
+
+
 def select_messages(
     messages: DataFrame,
     segments: DataFrame | None = None,
