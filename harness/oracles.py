@@ -162,46 +162,57 @@ def _instant_text(column: str) -> str:
     )
 
 
-EVENT_ID = f"md5('gaps|' || s1.vessel_id || '|' || {_instant_text('g.start_timestamp')} || '|' || {_instant_text('g.end_timestamp')})"
+EVENT_ID = f"md5('gaps|' || off_id || '|' || {_instant_text('start_timestamp')} || '|' || {_instant_text('end_timestamp')})"
 
 
-def _least(place: str) -> str:
-    start, end = f"g.start_distance_from_{place}_m", f"g.end_distance_from_{place}_m"
-    return f"CASE WHEN {start} IS NOT NULL THEN least({start}, coalesce({end}, {start})) END AS gap_min_distance_from_{place}_m"
+def _nearest(place: str) -> str:
+    """The smaller of both ends; the start where the end is unknown; unknown where the start is."""
+    start, end = f"start_distance_from_{place}_m", f"end_distance_from_{place}_m"
+    return f"CASE WHEN {end} < {start} THEN {end} ELSE {start} END AS gap_min_distance_from_{place}_m"
+
+
+def _km(end: str, place: str) -> str:
+    return f"{end}_distance_from_{place}_m / 1000 AS {end}_distance_from_{place}_km"
+
+
+_DETAILS = "shipname AS {0}_name, prod_shiptype AS {0}_type, mmsi_flag AS {0}_flag"
 
 
 def enriched(gaps: str, start: str, end: str) -> str:
-    """All joins of the publication on the gaps of a range."""
+    """What is known of each gap of a range, one lookup after the other."""
+    ends = "".join(f"{_km(e, p)}, " for e in ("start", "end") for p in ("shore", "port"))
     return f"""
 gaps AS ({gaps}),
+off_end AS (
+  SELECT seg_id AS start_seg_id, vessel_id AS off_id, overlapping_and_short AS off_short, year AS gap_year,
+    {_DETAILS.format("off")} FROM vessels JOIN segs USING (vessel_id)),
+on_segment AS (SELECT seg_id AS end_seg_id, seg_id AS on_seg, vessel_id AS on_id, overlapping_and_short AS on_short FROM segs),
+on_vessel AS (SELECT vessel_id AS on_id, vessel_id AS on_vessel_id, year AS gap_year, {_DETAILS.format("on")} FROM vessels),
+trips AS (
+  SELECT vessel_id AS trip_of, trip_id, trip_start, trip_end, trip_end_visit_id AS visit_id FROM voyages
+  WHERE trip_end IS NOT NULL AND trip_start IS DISTINCT FROM TIMESTAMP '1979-01-01'),
+ports AS (SELECT visit_id, event_id AS port_event_id, id AS port_id, flag AS port_flag, name AS port_name FROM visits),
+in_range AS (
+  SELECT *, year(start_timestamp) AS gap_year FROM gaps
+  WHERE end_timestamp < TIMESTAMP '{end}' AND TIMESTAMP '{start}' <= start_timestamp),
+of_vessels AS (
+  SELECT * FROM in_range JOIN off_end USING (gap_year, start_seg_id) LEFT JOIN on_segment USING (end_seg_id)
+    LEFT JOIN on_vessel USING (on_id, gap_year)),
+on_trips AS (
+  SELECT * FROM of_vessels LEFT JOIN trips ON trip_of = off_id AND end_timestamp < trip_end
+    AND coalesce(trip_start < start_timestamp, true)),
 enriched AS (
-  SELECT {EVENT_ID} AS event_id, s1.vessel_id, s1.seg_id, g.ssvid,
-    g.start_timestamp AS event_start, g.end_timestamp AS event_end,
-    (g.start_lat + g.end_lat) / 2 AS lat_mean, (g.start_lon + g.end_lon) / 2 AS lon_mean,
-    g.start_lat AS lat_min, g.end_lat AS lat_max, g.start_lon AS lon_min, g.end_lon AS lon_max,
-    g.start_distance_from_shore_m / 1000 AS start_distance_from_shore_km,
-    g.end_distance_from_shore_m / 1000 AS end_distance_from_shore_km,
-    g.start_distance_from_port_m / 1000 AS start_distance_from_port_km,
-    g.end_distance_from_port_m / 1000 AS end_distance_from_port_km,
-    g.duration_h, v1.prod_shiptype AS vessel_class, p.event_id AS port_event_id, p.id AS port_id,
-    p.flag AS port_flag, p.name AS port_name, s1.vessel_id AS vessel_1_id, s2.vessel_id AS vessel_2_id,
-    s1.vessel_id <> s2.vessel_id AS is_multi_vessel_gap,
-    s1.overlapping_and_short AS gap_start_overlapping_and_short,
-    s2.overlapping_and_short AS gap_end_overlapping_and_short,
-    s1.overlapping_and_short AND s2.overlapping_and_short AS gap_overlapping_and_short,
-    {_least('port')}, {_least('shore')},
-    v1.shipname AS name_1, v1.mmsi_flag AS flag_1, v2.vessel_id AS id_2, v2.shipname AS name_2,
-    v2.prod_shiptype AS type_2, v2.mmsi_flag AS flag_2, s2.seg_id AS seg_2, y.trip_id
-  FROM gaps g
-  LEFT JOIN segs s1 ON g.start_seg_id = s1.seg_id
-  LEFT JOIN segs s2 ON g.end_seg_id = s2.seg_id
-  JOIN vessels v1 ON v1.vessel_id = s1.vessel_id AND v1.year = year(g.start_timestamp)
-  LEFT JOIN vessels v2 ON v2.vessel_id = s2.vessel_id AND v2.year = year(g.start_timestamp)
-  LEFT JOIN (SELECT * FROM voyages WHERE trip_start <> TIMESTAMP '1979-01-01' OR trip_start IS NULL) y
-    ON y.vessel_id = v1.vessel_id AND (y.trip_start < g.start_timestamp OR y.trip_start IS NULL)
-    AND y.trip_end > g.end_timestamp
-  LEFT JOIN visits p ON y.trip_end_visit_id = p.visit_id
-  WHERE g.start_timestamp >= TIMESTAMP '{start}' AND g.end_timestamp < TIMESTAMP '{end}')"""
+  SELECT {EVENT_ID} AS event_id, ssvid, start_timestamp AS event_start, end_timestamp AS event_end,
+    off_id AS vessel_id, off_id AS vessel_1_id, on_id AS vessel_2_id, start_seg_id AS seg_id,
+    start_lat AS lat_min, end_lat AS lat_max, (start_lat + end_lat) / 2 AS lat_mean,
+    start_lon AS lon_min, end_lon AS lon_max, (start_lon + end_lon) / 2 AS lon_mean,
+    {ends}{_nearest('port')}, {_nearest('shore')}, duration_h, trip_id,
+    off_short AS gap_start_overlapping_and_short, on_short AS gap_end_overlapping_and_short,
+    off_short AND on_short AS gap_overlapping_and_short, off_id <> on_id AS is_multi_vessel_gap,
+    port_event_id, port_id, port_flag, port_name,
+    off_type AS vessel_class, off_name AS name_1, off_flag AS flag_1,
+    on_vessel_id AS id_2, on_name AS name_2, on_type AS type_2, on_flag AS flag_2, on_seg AS seg_2
+  FROM on_trips LEFT JOIN ports USING (visit_id))"""
 
 
 _LAYERS = "[" + ", ".join(f"'{name}'" for name in REGION_LAYERS) + "]"

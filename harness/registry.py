@@ -809,7 +809,8 @@ def gaps_top_flags(spark, sf_dir):
     return reports.top_flags(_with_flags(spark, sf_dir))
 
 
-_SNAP = "CASE WHEN abs(round({c} / 0.01::DOUBLE) * 0.01::DOUBLE) < 0.01 THEN abs(round({c} / 0.01::DOUBLE) * 0.01::DOUBLE) ELSE round({c} / 0.01::DOUBLE) * 0.01::DOUBLE END"
+# Hundredths, and no negative zero.
+_SNAP = "(round({c}, 2) + 0.0::DOUBLE)"
 
 
 @query(

@@ -75,16 +75,18 @@ def _composed(text: pd.Series) -> pd.Series:
 
 def port_id(iso3: Column, label: Column) -> Column:
     """Lower-case ``iso3-label`` without blanks, in Unicode normal form C."""
-    return F.lower(F.concat(iso3, F.lit("-"), F.regexp_replace(_composed(label), " ", "")))
+    # Text in ASCII is in normal form already; only other labels are worked on in Python.
+    ascii_only = F.rlike(label, F.lit(r"^[\x00-\x7F]*$"))
+    composed = F.when(ascii_only, label).otherwise(_composed(F.when(~ascii_only, label)))
+    return F.lower(F.concat(iso3, F.lit("-"), F.regexp_replace(composed, " ", "")))
 
 
 def grid_code(lon: Column, lat: Column) -> Column:
     """Signed fixed-width code of the 0.01 degree cell, e.g. ``lon:+012.30_lat:-004.00``."""
 
     def snap(value: Column) -> Column:
-        cell = F.round(value / F.lit(0.01)) * F.lit(0.01)
-        # -0.00 and +0.00 are one cell
-        return F.when(F.abs(cell) < 0.01, F.abs(cell)).otherwise(cell)
+        # Hundredths; adding zero turns a negative zero into zero, which is the same cell.
+        return F.round(value, 2) + F.lit(0.0)
 
     return F.format_string("lon:%+07.2f_lat:%+07.2f", snap(lon), snap(lat))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hushtrack import schemas
 from hushtrack.errors import InsufficientSegmentsDataError
 from hushtrack.operators import versions
+from hushtrack.operators.detect import Settings, detect_gaps
 from hushtrack.plans import reports
 from hushtrack.plans.detect_job import DetectConfig, read_messages, read_open_gaps, run_detect, segments_readiness
 from hushtrack.sources.messages import in_days, read_json_messages, select_messages, union_sources
@@ -82,6 +83,50 @@ def version_rows(spark):
     return spark.createDataFrame(rows, schemas.GAP)
 
 
+@pytest.mark.parametrize(
+    "values",
+    [{"filter_good_seg": True}, {"filter_not_overlapping_and_short": True}, {"good_seg_stabilization_days": -1},
+     {"min_gap_length_h": -6}, {"n_hours_before": -1}, {"keys": ()}, {"end_date": "2024-01-01"}],
+)
+def test_config_is_checked_before_any_work(values):
+    with pytest.raises(ValueError):
+        DetectConfig(**{"start_date": "2024-01-01", "end_date": "2024-01-02", "json_messages": "x", **values})
+
+
+def test_sources_without_segments_pass_the_segment_filter(spark, lines):
+    segments = spark.createDataFrame([("other", True, False)], "seg_id string, good_seg2 boolean, overlapping_and_short boolean")
+    rows = read_json_messages(spark, lines[0]).drop("seg_id")
+    config = DetectConfig("2024-01-01", "2024-01-06", messages=rows, segments=segments, filter_good_seg=True, min_gap_length_h=6, eval_last=False)
+    assert run_detect(spark, config).count() == 2
+    known = DetectConfig("2024-01-01", "2024-01-06", messages=read_json_messages(spark, lines[0]), segments=segments, min_gap_length_h=6)
+    assert run_detect(spark, known).count() == 0
+
+
+def test_table_keeps_key_columns_and_has_a_view_of_its_own(spark, tmp_path):
+    keys = ("ssvid", "fleet")
+    rows = frame(spark, [message("2024-01-01 10:00"), message("2024-01-03 10:00")]).withColumn("fleet", F.lit("north"))
+    table, other = (GapsTable(spark, str(tmp_path / n), keys) for n in ("gaps", "more"))
+    table.create()
+    table.create()
+    gaps = detect_gaps(rows, Settings(threshold_h=6, keys=keys))
+    table.append(gaps)
+    assert [r.fleet for r in table.read().collect()] == ["north"]
+    assert table.view_name != other.view_name
+    table.create_last_versions_view()
+    assert spark.table(table.view_name).count() == 1
+
+
+def test_latest_versions_plan(spark, tmp_path):
+    path = str(tmp_path / "gaps")
+    detect_gaps(frame(spark, [message("2024-01-01 10:00"), message("2024-01-03 10:00")])).write.parquet(path)
+    gaps = spark.read.parquet(path)
+    text = versions.last_versions(gaps.unionByName(gaps))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "ShuffledHashJoin" in text
+    assert versions.last_versions(gaps.unionByName(gaps)).count() == 1
+    search = gaps.where(versions.to_be_recreated("2024-01-02"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in search
+
+
 def test_versions(spark):
     gaps = version_rows(spark)
     ids = lambda df: sorted(r.gap_id for r in df.collect())
