@@ -38,6 +38,26 @@ def prefixes(words: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def quantiles(sample: np.ndarray, parts: int) -> np.ndarray:
+    """Rows of two words that cut a sample of first 16 bytes in so many equal parts, or fewer."""
+    sample = sample[np.lexsort((sample[:, 1], sample[:, 0]))]
+    if not len(sample):
+        return sample.reshape(0, 2)
+    return np.unique(sample[np.linspace(0, len(sample), parts + 1).astype(int)[1:-1]], axis=0)
+
+
+def cuts(words: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Where sorted keys pass the pivots, from 0 to their number."""
+    n = words.shape[1]
+    if not len(pivots):
+        return np.array([0, n])
+    lo, hi = np.searchsorted(words[0], pivots[:, 0], "left"), np.searchsorted(words[0], pivots[:, 0], "right")
+    inner = lo.copy()
+    for k in np.flatnonzero(lo < hi):
+        inner[k] += np.searchsorted(words[1, lo[k] : hi[k]], pivots[k, 1])
+    return np.concatenate(([0], inner, [n])).astype(np.int64)
+
+
 def merge(words: np.ndarray, lcp: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge runs that lie one after the other (run r from starts[r] to starts[r + 1]).
 
@@ -89,17 +109,15 @@ def _compare(words, length, la, pa, lb, pb):
 def _merge_some(words, lcp, starts, length):
     total, runs = words.shape[1], len(starts) - 1
     size = 1 << max(1, (runs - 1).bit_length())
-    picks = np.sort(words[0, :: max(1, total // (8 * _LANES))])
     lanes = max(1, min(_LANES, total // 64, (4 << 20) // size))
-    pivots = np.unique(picks[np.linspace(0, len(picks) - 1, lanes + 1).astype(int)[1:-1]]) if total else picks[:0]
+    pivots = quantiles(words[:2, :: max(1, total // (16 * lanes))].T, lanes)
     lanes = len(pivots) + 1
     at = np.zeros((lanes, size), np.int64)
     end = np.zeros((lanes, size), np.int64)
     for r in range(runs):
         lo, hi = int(starts[r]), int(starts[r + 1])
-        cut = lo + np.searchsorted(words[0, lo:hi], pivots)
-        at[:, r] = np.concatenate(([lo], cut))
-        end[:, r] = np.concatenate((cut, [hi]))
+        cut = lo + cuts(words[:, lo:hi], pivots)
+        at[:, r], end[:, r] = cut[:-1], cut[1:]
     counts = (end - at).sum(axis=1)
     out_at = np.concatenate(([0], np.cumsum(counts)))[:-1]
     order, common = np.empty(total, np.int64), np.empty(total, np.int16)

@@ -9,11 +9,14 @@ places. So only suffixes that start at anchors (about one in twelve) are sorted,
    suffix only what it does not share with the one before. Runs are exchanged by ranges of suffixes,
    and a loser tree that never compares known prefixes again merges the runs of a range. Suffixes in
    only one document are done with.
-2. Of the others, the strings around their anchors are compared as a whole: tasks first settle what
-   repeats among their own texts and send each different surrounding once, with its smallest document.
+   The others learn where their gram stands in the smallest document that has it.
+2. Anchors in a row whose grams stand in a row in one smaller document lie in a copied stretch: what
+   is inside is settled. For the rest, the strings around anchors are compared as a whole, after tasks have
+   settled what repeats among their own texts. (Of the documents that have a string the smallest is never
+   settled itself, so it is among those compared.)
 3. The byte ranges found are joined to their texts and cut out.
 
-Grams that very many documents share cost one entry per run in 1 and one per task in 2.
+Copies of a passage cost one entry per run in 1, and in 2 only what is near the ends of a stretch.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hushtrack.llm.common import shared, text_of
-from hushtrack.llm.loser_tree import merge, prefixes
+from hushtrack.llm.loser_tree import cuts, merge, prefixes, quantiles
 
 LENGTH = 50
 GRAM = 28
@@ -147,8 +150,8 @@ def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _run(raw: np.ndarray, starts: np.ndarray):
-    """Sorted different anchor suffixes of a run: words, common prefixes, and for each anchor in that
-    order its suffix, place and reach before and after; whether a suffix is in two documents."""
+    """Sorted different anchor suffixes of a run: words, common prefixes, number of anchors, whether in
+    two documents, the first document; for each anchor in that order its place and reach."""
     at, lo, hi = anchors(raw, starts[:-1], starts[1:])
     words = _words(raw, at)
     order = np.lexsort(words[::-1])
@@ -161,7 +164,7 @@ def _run(raw: np.ndarray, starts: np.ndarray):
     doc = np.searchsorted(starts, at, side="right") - 1
     several = np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head) if len(head) else np.zeros(0, bool)
     lengths = np.diff(np.concatenate((head, [len(at)])))
-    return words[:, head], lcp[head], lengths, several, at, (at - hi).astype(np.uint8), (at - lo).astype(np.uint8)
+    return words[:, head], lcp[head], lengths, several, doc[head], at, (at - hi).astype(np.uint8), (at - lo).astype(np.uint8)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -188,21 +191,12 @@ def _ranges(keyed: DataFrame, parts: int) -> np.ndarray:
     n = keyed.count()
     some = keyed.where(F.pmod(F.xxhash64("hash", F.lit(8)), F.lit(1 << 30)) < int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 30)))
     got = some.select("text").mapInArrow(pick, "a long, b long").toPandas().to_numpy(np.int64).view(np.uint64)
-    got = got[np.lexsort((got[:, 1], got[:, 0]))]
-    if not len(got):
-        return got.reshape(0, 2)
-    return np.unique(got[np.linspace(0, len(got), parts + 1).astype(int)[1:-1]], axis=0)
-
-
-def _cuts(words: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Where sorted keys pass the pivots."""
-    lo, hi = np.searchsorted(words[0], pivots[:, 0], "left"), np.searchsorted(words[0], pivots[:, 0], "right")
-    inner = [a + np.searchsorted(words[1, a:b], p) for a, b, p in zip(lo, hi, pivots[:, 1])]
-    return np.concatenate(([0], np.array(inner, np.int64), [words.shape[1]])).astype(np.int64)
+    return quantiles(got.reshape(-1, 2), parts)
 
 
 def _suspects(keyed: DataFrame, parts: int) -> DataFrame:
-    """Anchors whose gram other documents have: rank, hash, spots (place, reach before and after)."""
+    """Of documents with grams that others have too: rank, hash, spots (place and reach of anchors
+    that are to be compared), starts and ends of the stretches settled."""
     pivots = keyed.sparkSession.sparkContext.broadcast(_ranges(keyed, parts))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,20 +204,27 @@ def _suspects(keyed: DataFrame, parts: int) -> DataFrame:
         task = TaskContext.get().partitionId()
 
         def close() -> pa.RecordBatch:
-            raw = np.concatenate([h[0] for h in held])
-            sizes = np.concatenate([np.diff(h[1]) for h in held])
-            starts = np.concatenate(([0], np.cumsum(sizes)))
-            words, lcp, lengths, several, at, before, after = _run(raw, starts)
-            cuts = _cuts(words, pivots.value)
+            rank, hashes = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+            texts = [raw[a:b] for raw, starts, *_ in held for a, b in zip(starts, starts[1:])]
+            # Documents in order: the first of equal suffixes is then of the smallest one.
+            order = np.lexsort((hashes, rank))
+            rank, hashes, texts = rank[order], hashes[order], [texts[k] for k in order]
+            raw = np.concatenate(texts)
+            starts = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+            words, lcp, lengths, several, first, at, before, after = _run(raw, starts)
+            ends = cuts(words, pivots.value)
             own = np.concatenate(([0], np.cumsum(lengths)))
-            rows = [(0, _pack(starts, *[np.concatenate([h[k] for h in held]) for k in (2, 3)]), -1)]
-            for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            rows = [(0, _pack(starts, rank, hashes), -1)]
+            for part, (a, b) in enumerate(zip(ends, ends[1:])):
                 if a < b:
                     common = lcp[a:b].astype(np.uint8)
                     common[0] = 0
                     x, y = own[a], own[b]
                     rest = front_coded(words[:, a:b], common)
-                    blob = _pack(common, rest, lengths[a:b].astype("<u4"), several[a:b], at[x:y].astype("<u4"), before[x:y], after[x:y])
+                    blob = _pack(
+                        common, rest, lengths[a:b].astype("<u4"), several[a:b], rank[first[a:b]],
+                        at[x:y].astype("<u4"), before[x:y], after[x:y],
+                    )
                     rows.append((part, blob, part))
             run = (task << 24) + number
             return pa.RecordBatch.from_arrays(
@@ -253,48 +254,83 @@ def _suspects(keyed: DataFrame, parts: int) -> DataFrame:
         run, blobs = table.column("run").to_pylist(), table.column("blob")
         out = [(r, False, blobs[k].as_py()) for k, r in enumerate(run) if not keys[k]]
         source = sorted((r, k) for k, r in enumerate(run) if keys[k])
-        got = [_unpack(blobs[k].as_py(), "u1", "u1", "<u4", "?", "<u4", "u1", "u1") for _, k in source]
+        got = [_unpack(blobs[k].as_py(), "u1", "u1", "<u4", "?", "<i8", "<u4", "u1", "u1") for _, k in source]
         if got:
             starts = np.concatenate(([0], np.cumsum([len(g[0]) for g in got])))
             words = np.concatenate([front_decoded(g[0].astype(np.int16), g[1]) for g in got], axis=1)
             lcp = np.concatenate([g[0] for g in got]).astype(np.int16)
             order, common = merge(words, lcp, starts, GRAM)
-            group = np.cumsum(common < GRAM)
-            group -= group[0] if len(group) else 0
-            several = np.concatenate([g[3] for g in got])[order]
-            counts = np.bincount(group)
-            repeated = np.empty(len(order), bool)
-            repeated[order] = ((counts > 1) | (np.bincount(group, several) > 0))[group]
+            new = common < GRAM
+            new[:1] = True
+            head, group = np.flatnonzero(new), np.cumsum(new) - 1
+            several, rank = np.concatenate([g[3] for g in got])[order], np.concatenate([g[4] for g in got])[order]
+            many = np.diff(np.concatenate((head, [len(order)]))) > 1
+            many |= np.bitwise_or.reduceat(several, head)
+            # Where the gram stands in its smallest document: of equal ranks the first run's.
+            by_rank = np.lexsort((order, rank, group))[head]
+            source_run = np.repeat([r for r, _ in source], np.diff(starts))[order]
+            place = np.concatenate([g[5][np.cumsum(g[2], dtype=np.int64) - g[2]] for g in got])[order]
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
             for (r, _), g, a, b in zip(source, got, starts, starts[1:]):
-                here = np.repeat(repeated[a:b], g[2])
+                mine = group[back[a:b]]
+                here = np.repeat(many[mine], g[2])
                 if here.any():
-                    out.append((r, True, _pack(g[4][here], g[5][here], g[6][here])))
+                    first = np.repeat(by_rank[mine], g[2])[here]
+                    out.append((r, True, _pack(g[5][here], g[6][here], g[7][here], rank[first], source_run[first], place[first])))
         return pa.table({"run": pa.array([o[0] for o in out], pa.int64()), "keys": pa.array([o[1] for o in out], pa.bool_()), "blob": pa.array([o[2] for o in out], pa.binary())})
 
     def by_document(table):
         keys, blobs = table.column("keys").to_pylist(), table.column("blob")
-        empty = pa.table({"rank": pa.array([], pa.int64()), "hash": pa.array([], pa.int64()), "spots": pa.array([], pa.binary())})
-        lists = [_unpack(blobs[k].as_py(), "<u4", "u1", "u1") for k, is_key in enumerate(keys) if is_key]
-        if not lists:
-            return empty
-        starts, rank, hashes = _unpack(blobs[keys.index(False)].as_py(), "<i8", "<i8", "<i8")
-        at, before, after = (np.concatenate([g[k] for g in lists]) for k in range(3))
-        order = np.argsort(at, kind="stable")
-        at, before, after = at[order].astype(np.int64), before[order], after[order]
-        doc = np.searchsorted(starts, at, side="right") - 1
-        head = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-        tail = np.concatenate((head[1:], [len(doc)]))
-        d = doc[head]
-        spots = [_pack((at[a:b] - starts[k]).astype("<u4"), before[a:b], after[a:b]) for a, b, k in zip(head, tail, d)]
-        return pa.table({"rank": rank[d], "hash": hashes[d], "spots": pa.array(spots, pa.binary())})
+        lists = [_unpack(blobs[k].as_py(), "<u4", "u1", "u1", "<i8", "<i8", "<u4") for k, is_key in enumerate(keys) if is_key]
+        out = {n: [] for n in ("rank", "hash", "spots", "start", "end")}
+        if lists:
+            starts, rank, hashes = _unpack(blobs[keys.index(False)].as_py(), "<i8", "<i8", "<i8")
+            columns = [np.concatenate([g[k] for g in lists]) for k in range(6)]
+            order = np.argsort(columns[0], kind="stable")
+            at, before, after, other, run, place = (c[order].astype(np.int64) for c in columns)
+            doc = np.searchsorted(starts, at, side="right") - 1
+            begin, stop, open_ = _stretches(at, before, after, doc, other < rank[doc], run, place)
+            head = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+            for a, b in zip(head, np.concatenate((head[1:], [len(doc)]))):
+                d, zero = doc[a], starts[doc[a]]
+                left = np.flatnonzero(open_[a:b]) + a
+                whole = np.unique(np.stack((begin[a:b], stop[a:b])), axis=1) - zero
+                whole = whole[:, whole[1] - whole[0] >= LENGTH]
+                out["rank"].append(rank[d])
+                out["hash"].append(hashes[d])
+                out["spots"].append(_pack((at[left] - zero).astype("<u4"), before[left].astype("u1"), after[left].astype("u1")) if len(left) else None)
+                out["start"].append(whole[0].tolist())
+                out["end"].append(whole[1].tolist())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds)})
 
     sorted_runs = keyed.mapInArrow(runs, "part int, keys boolean, run long, blob binary")
     found = shared(sorted_runs.groupBy("part").applyInArrow(merged, "run long, keys boolean, blob binary"), "suffixes")
-    spots = found.groupBy("run").applyInArrow(by_document, "rank long, hash long, spots binary")
-    # A repeated row (same doc_id, same text) has the same spots in each of its runs, or fewer.
+    spots = found.groupBy("run").applyInArrow(
+        by_document, "rank long, hash long, spots binary, start array<bigint>, end array<bigint>"
+    )
     return shared(spots, "suspects")
 
 
+def _stretches(at, before, after, doc, usable, run, place):
+    """For each anchor the copied stretch that it lies in, and whether strings of it reach beyond.
+
+    Grams less than ``GRAM`` bytes apart that are as far apart in a smaller document overlap there
+    too, so together they are a copy of it.
+    """
+    apart = np.diff(at)
+    chained = usable[1:] & usable[:-1] & (doc[1:] == doc[:-1]) & (run[1:] == run[:-1])
+    chained &= (np.diff(place) == apart) & (apart <= GRAM)
+    head = np.flatnonzero(np.concatenate(([True], ~chained)))
+    size = np.diff(np.concatenate((head, [len(at)])))
+    begin = np.repeat(at[head], size)
+    stop = np.repeat(at[head + size - 1] + GRAM, size)
+    stop = np.where(usable, stop, begin)
+    inside = usable & (at - after >= begin) & (at - before + LENGTH <= stop)
+    return begin, stop, ~inside
+
+
 def _surroundings(raw: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Bytes around anchors, as far as the strings reach that they are anchors of; zeros beyond."""
     full = np.zeros((len(at), 2 * _REACH + GRAM), np.uint8)
@@ -330,7 +366,7 @@ _FOUND = "bucket int, rank long, hash long, place long, before int, after int, a
 def _settle(keyed: DataFrame, suspects: DataFrame, parts: int) -> DataFrame:
     """Surroundings of suspects: rows with a bucket are to be compared with those of other tasks; rows
     without are settled, every string of theirs being in a smaller document of the task."""
-    spots = suspects.groupBy("rank", "hash").agg(F.collect_set("spots").alias("spots"))
+    spots = suspects.where("spots is not null").groupBy("rank", "hash").agg(F.collect_set("spots").alias("spots"))
     both = keyed.join(spots, ["rank", "hash"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,8 +476,9 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     own = around.where("bucket is null").select(
         "rank", "hash", (F.col("place") - F.col("after")).alias("start"), (F.col("place") - F.col("before") + LENGTH).alias("end")
     )
+    copied = suspects.select("rank", "hash", F.explode(F.arrays_zip("start", "end")).alias("s")).select("rank", "hash", "s.start", "s.end")
     others = around.where("bucket is not null").groupBy("bucket").applyInArrow(_compared, "rank long, hash long, start long, end long")
-    return own.unionByName(others)
+    return own.unionByName(copied).unionByName(others)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
