@@ -125,12 +125,13 @@ def document_fingerprints(docs: DataFrame, radius: int = RADIUS, query_every: in
     asks = order.select(
         F.col("next_id").alias("from_id"), F.col("next_hash").alias("from_hash"),
         F.col("doc_id").alias("to_id"), F.col("hash").alias("to_hash"),
-        F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"),
+        "n_chars", F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"),
     )
-    texts = docs.select("doc_id", "hash", "n_chars", "text")
+    # Both joins read the same columns, so that one exchange of the texts serves them.
+    texts = docs.select("doc_id", "hash", "text")
     given = texts.dropDuplicates(["doc_id", "hash"]) if not order.where("copies > 1").isEmpty() else texts
     given = given.join(asks, given.doc_id.eqNullSafe(asks.from_id) & (given.hash == asks.from_hash))
-    given = given.select("to_id", "to_hash", "wanted", F.substring("text", F.lit(1), F.col("wanted")).alias("piece"))
+    given = given.select("to_id", "to_hash", "n_chars", "wanted", F.substring("text", F.lit(1), F.col("wanted")).alias("piece"))
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.col("wanted")).cast("int"))
     both = texts.join(given, texts.doc_id.eqNullSafe(given.to_id) & (texts.hash == given.to_hash)).select(
         "doc_id", "hash", "n_chars", "text", F.concat(kept, F.col("piece")).alias("edited")
