@@ -124,6 +124,8 @@ def _grouped(rows: DataFrame, names: DataFrame) -> DataFrame:
         "depth", "name", "group_size",
         (-F.col("best.low")).alias("keep_id"), (-F.col("best.first")).alias("keep_row"),
     )
+    # Written, so that the join has exchanges of its own, whose large partitions can be split.
+    best = shared(best, "best")
     return members.join(best, ["depth", "name"]).select(
         "doc_id", "n_chars", "text_sha256", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept")
     )
