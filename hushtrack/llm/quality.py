@@ -72,15 +72,28 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
         total, memory = np.zeros(BUCKETS * DIMENSIONS), {}
+        ats, nears, held = [], [], 0
+
+        def add() -> None:
+            nonlocal total, held
+            if held:
+                at, near = np.concatenate(ats), np.concatenate(nears)
+                for e in range(NONZEROS):
+                    total += np.bincount(at * DIMENSIONS + places[near, e], signs[near, e], minlength=len(total))
+            ats.clear(), nears.clear()
+            held = 0
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 b = buckets(text, memory)
-                for k in range(1, WINDOW + 1):
-                    for at, near in ((b[:-k], b[k:]), (b[k:], b[:-k])):
-                        if len(at):
-                            for e in range(NONZEROS):
-                                cell = at * DIMENSIONS + places[near, e]
-                                total += _summed(cell, signs[near, e])
+                for k in range(1, min(WINDOW, len(b) - 1) + 1):
+                    ats.extend((b[:-k], b[k:]))
+                    nears.extend((b[k:], b[:-k]))
+                    held += 2 * (len(b) - k)
+                # The table is gone through once for many texts.
+                if held > 1_000_000:
+                    add()
+        add()
         grid = total.reshape(BUCKETS, DIMENSIONS).astype(np.int64)
         seen = np.flatnonzero(grid.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(seen), *[pa.array(grid[seen, k]) for k in range(DIMENSIONS)]], ["bucket", *names])
@@ -93,10 +106,6 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
 
 
-def _summed(cells: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    return np.bincount(cells, signs, minlength=BUCKETS * DIMENSIONS)
-
-
 def pooled(text: str, vectors: np.ndarray, memory: dict[str, int]) -> np.ndarray:
     """Mean and spread of a text's vectors, its share of different tokens and pairs, its length."""
     b = buckets(text, memory)
@@ -137,7 +146,7 @@ def _train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray) -> QualityModel:
     share = float(y.mean()) if len(y) else 0.5
     p = [rng.normal(0, width**-0.5, (width, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
     p[3][0] = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         p[2][:] = 0
         return QualityModel(vectors, centre, scale, *p[:3], float(p[3][0]))
     order = rng.permutation(len(y))
@@ -182,7 +191,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = TRA
     # Bounded by ``most`` rows of a few hundred bytes.
     rows = sample.mapInArrow(read, f"doc_id {kind}, x binary, label int").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
-    x = np.array([np.frombuffer(r.x) for r in rows]).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r.x) for r in rows], float).reshape(len(rows), 2 * DIMENSIONS + 4)
     return _train(x, np.array([r.label for r in rows], float), vectors)
 
 
