@@ -333,12 +333,10 @@ def _stretches(at, before, after, doc, usable, run, place):
 
 def _surroundings(raw: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Bytes around anchors, as far as the strings reach that they are anchors of; zeros beyond."""
-    full = np.zeros((len(at), 2 * _REACH + GRAM), np.uint8)
-    for k in range(2 * _REACH + GRAM):
-        place = at + (k - _REACH)
-        use = (k >= _REACH - after) & (k < _REACH - before.astype(np.int64) + LENGTH)
-        full[use, k] = raw[place[use]]
-    return full
+    column = np.arange(2 * _REACH + GRAM)
+    use = (column >= _REACH - after[:, None].astype(np.int64)) & (column < _REACH + LENGTH - before[:, None].astype(np.int64))
+    place = np.clip(at[:, None] + (column - _REACH), 0, len(raw) - 1)
+    return np.where(use, raw[place], np.uint8(0))
 
 
 def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -374,11 +372,13 @@ def _settle(keyed: DataFrame, suspects: DataFrame, parts: int) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             full, rank, hashes, place, before, after = (np.concatenate([h[k] for h in held]) for k in range(6))
-            words = _as_words(full)
-            order = np.lexsort((place, hashes, rank, *words, before, after))
+            # In the order of a hash equals come together; each is compared with the one before. Others of
+            # equal hash may part equals, which are then compared with those of other tasks.
+            words = [*_as_words(full), before, after]
+            order = np.lexsort((place, hashes, rank, _mixed(words)))
             same = np.zeros(len(order), bool)
             same[1:] = True
-            for c in (*words, before, after):
+            for c in words:
                 c = c[order]
                 same[1:] &= c[1:] == c[:-1]
             # The first of equal surroundings is of the smallest document.
@@ -386,7 +386,9 @@ def _settle(keyed: DataFrame, suspects: DataFrame, parts: int) -> DataFrame:
             settled = rank[order] > least
             bucket = _gram_bucket(full[order], parts)
             out_bucket = pa.array(np.where(settled, 0, bucket), pa.int32(), mask=settled)
-            around = pa.array([b"" if s else full[o].tobytes() for s, o in zip(settled, order)], pa.binary())
+            sent = np.ascontiguousarray(full[order[~settled]])
+            ends = np.concatenate(([0], np.cumsum(~settled) * full.shape[1])).astype(np.int32)
+            around = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer(ends), pa.py_buffer(sent)])
             return pa.RecordBatch.from_arrays(
                 [
                     out_bucket, pa.array(rank[order]), pa.array(hashes[order]), pa.array(place[order]),
@@ -415,11 +417,17 @@ def _settle(keyed: DataFrame, suspects: DataFrame, parts: int) -> DataFrame:
     return both.mapInArrow(run, _FOUND)
 
 
-def _gram_bucket(full: np.ndarray, parts: int) -> np.ndarray:
-    h = np.zeros(len(full), np.uint64)
-    for w in _as_words(np.ascontiguousarray(full[:, _REACH : _REACH + GRAM])):
-        h = (h ^ w) * np.uint64(0x9E3779B97F4A7C15)
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row."""
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
+    return h
+
+
+def _gram_bucket(full: np.ndarray, parts: int) -> np.ndarray:
+    h = _mixed(_as_words(np.ascontiguousarray(full[:, _REACH : _REACH + GRAM])))
     return (h % np.uint64(parts)).astype(np.int64)
 
 
