@@ -100,7 +100,9 @@ def _drawn(docs: DataFrame, targets: Targets, prefix: str) -> DataFrame:
     docs = described(docs, prefix)
     names = [prefix + m for m in MARGINS]
     cells = docs.groupBy(*names).agg(F.sum(f"{prefix}n_tokens").alias("tokens"))
-    cells = raked(cells.select(*[F.col(prefix + m).alias(m) for m in MARGINS], "tokens"), targets)
+    # Written first: everything below reads the cells, and none of it the documents again.
+    cells = shared(cells.select(*[F.col(prefix + m).alias(m) for m in MARGINS], "tokens"), "counted")
+    cells = raked(cells, targets)
     cells = cells.select(
         *[F.col(m).alias(prefix + m) for m in MARGINS],
         F.col("weight").alias(f"{prefix}weight"),
