@@ -252,8 +252,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     Of rows that repeat that doc_id one stays. Rows without a doc_id form groups like any other;
     a group of such rows alone keeps them all.
     """
-    groups = near_duplicates(docs, **options).where("component_id <=> doc_id").select(F.col("doc_id").alias("_id"))
-    kept = docs.join(groups.distinct(), docs.doc_id.eqNullSafe(F.col("_id")), "left_semi")
+    return first_of_components(docs, near_duplicates(docs, **options).select("component_id"))
+
+
+def first_of_components(docs: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is a component_id; of rows that repeat a doc_id one stays."""
+    kept = docs.join(components.select(F.col("component_id").alias("_id")).distinct(), docs.doc_id.eqNullSafe(F.col("_id")), "left_semi")
     if not docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").isEmpty():
         known = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
         kept = known.unionByName(kept.where("doc_id is null"))
