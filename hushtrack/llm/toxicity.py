@@ -2,9 +2,9 @@
 
 A token that may be disguised (letters mixed with digits or signs that resemble letters, letters set
 apart by blanks or dots, letters repeated three times or more) spans a lattice: each character may
-stand for itself or a letter it resembles, a separator may be dropped, a repetition may be one or two
-letters. The Viterbi path under a character trigram model, mixed from all documents and from the
-words that mark toxic ones, is the restored word. Ordinary words have one path and stay as they are.
+stand for itself or a letter it resembles, a separator may be dropped or end a word, a repetition may
+be one or two letters. The Viterbi path under a character trigram model, mixed from all documents and from the
+words that mark toxic ones, and these words as wholes, is the restored word or words. Ordinary words have one path and stay as they are.
 
 The score is a logistic regression on words and beginnings of words in the restored text, fitted on
 a bounded sample of labelled documents.
@@ -54,6 +54,8 @@ _OTHER, _BOUNDARY = 26, 27
 _CLASSES = 28
 #: Costs of the channel, in nats: a lookalike, a dropped separator, a dropped repetition.
 COST_SIGN, COST_DROP, COST_REPEAT = 1.0, 0.2, 0.7
+#: The cost of a separator that ends a word.
+COST_SPLIT = 0.7
 
 
 def _class(c: str) -> int:
@@ -94,9 +96,10 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
 @dataclass
 class CharacterModel:
-    """Costs -log P(c | a, b) as an array [a, b, c], and the words that count besides."""
+    """Costs -log P(c | a, b) as an array [a, b, c], and the known words, which are equally likely."""
 
     costs: np.ndarray
+    words: tuple[str, ...] = ()
 
     @staticmethod
     def mixed(counts: np.ndarray, words: list[str]) -> CharacterModel:
@@ -109,37 +112,69 @@ class CharacterModel:
             c = [_BOUNDARY, _BOUNDARY, *map(_class, w), _BOUNDARY]
             for a, b, d in zip(c, c[1:], c[2:]):
                 own[(a * _CLASSES + b) * _CLASSES + d] += 1
-        return CharacterModel(-np.log(0.5 * shares(counts) + 0.5 * shares(own)))
+        return CharacterModel(-np.log(0.5 * shares(counts) + 0.5 * shares(own)), tuple(words))
 
 
 class Restorer:
-    """Finds the likeliest word behind a disguised token."""
+    """Finds the likeliest words behind a disguised token."""
 
     def __init__(self, model: CharacterModel):
         self.costs = model.costs.tolist()
+        self.ends = set(model.words)
+        #: Beginnings of the words that count besides, and the letters that go on from them.
+        self.onward = {w[:k] for w in self.ends for k in range(1, len(w) + 1)}
+        self.enter = math.log(max(1, len(self.ends)))
 
     def restore(self, token: str) -> str:
-        """Viterbi over (two classes before, letter before); ties go to the first letter listed."""
-        states: dict[tuple[int, int, str], tuple[float, str]] = {(_BOUNDARY, _BOUNDARY, ""): (0.0, "")}
+        """Viterbi over (two classes before, letter before, beginning of a known word); ties go to the
+        first letter listed.
+
+        A separator is dropped or ends a word: words of the path are set apart by blanks. A word is
+        spelled by the character model or is one of the known words. Paths are chains of (path
+        before, letter), so that work grows with the length of the token only.
+        """
+        start = (_BOUNDARY, _BOUNDARY, "", "")
+        states: dict[tuple[int, int, str, str], tuple[float, tuple | None]] = {start: (0.0, None)}
         for c in token:
-            after: dict[tuple[int, int, str], tuple[float, str]] = {}
+            after: dict[tuple[int, int, str, str], tuple[float, tuple | None]] = {}
 
-            def reach(key, cost, path):
+            def reach(key, cost, path, letter=""):
                 if key not in after or cost < after[key][0]:
-                    after[key] = (cost, path)
+                    after[key] = (cost, (path, letter) if letter else path)
 
             choices = [(c, 0.0)] if c.isalpha() else [(x, COST_SIGN) for x in LOOKALIKES.get(c, "")]
-            for (a, b, before), (cost, path) in states.items():
+            drops = c in SEPARATORS or c in " " or not choices
+            for key, (cost, path) in states.items():
+                a, b, before, known = key
                 for letter, price in choices:
                     k = _class(letter)
-                    reach((b, k, letter), cost + price + self.costs[a][b][k], path + letter)
+                    if not known:
+                        reach((b, k, letter, ""), cost + price + self.costs[a][b][k], path, letter)
+                    if (known or not before) and known + letter in self.onward:
+                        reach((b, k, letter, known + letter), cost + price + (0.0 if known else self.enter), path, letter)
                     if letter == before:
-                        reach((a, b, before), cost + price + COST_REPEAT, path)
-                if c in SEPARATORS or c in " " or not choices:
-                    reach((a, b, before), cost + COST_DROP, path)
+                        reach(key, cost + price + COST_REPEAT, path)
+                if drops:
+                    reach(key, cost + COST_DROP, path)
+                    if before and (not known or known in self.ends):
+                        reach(start, cost + COST_SPLIT + self._end(key), path, " ")
             states = after
-        ends = [(cost + self.costs[a][b][_BOUNDARY], path) for (a, b, _), (cost, path) in states.items()]
-        return min(ends)[1] if ends else ""
+        ends = [(cost + self._end(key), path) for key, (cost, path) in states.items() if not key[3] or key[3] in self.ends]
+        least = min((cost for cost, _ in ends), default=None)
+        return min((_spelled(path) for cost, path in ends if cost == least), default="")
+
+    def _end(self, key: tuple[int, int, str, str]) -> float:
+        """The cost of ending a word here; a known word has its end, and nothing needs none."""
+        a, b, before, known = key
+        return self.costs[a][b][_BOUNDARY] if before and not known else 0.0
+
+
+def _spelled(path: tuple | None) -> str:
+    letters = []
+    while path is not None:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters)).strip()
 
 
 def _disguised(core: str) -> bool:
@@ -165,7 +200,7 @@ class Reader:
         if self.restorer is not None:
             for shape in {core, token.rstrip(".,;:?\"'")}:
                 if _disguised(shape):
-                    words.append(self.restorer.restore(shape))
+                    words.extend(self.restorer.restore(shape).split())
         return words
 
     def _features(self, token: str) -> tuple:
@@ -208,11 +243,11 @@ class ToxicityModel:
 
     def parts(self) -> tuple:
         """Plain values: executors need not have the package to read them."""
-        return self.characters.costs, self.features, self.weights, self.bias
+        return (self.characters.costs, self.characters.words), self.features, self.weights, self.bias
 
     @staticmethod
     def of(parts: tuple) -> ToxicityModel:
-        return ToxicityModel(CharacterModel(parts[0]), *parts[1:])
+        return ToxicityModel(CharacterModel(*parts[0]), *parts[1:])
 
     def score(self, found: dict) -> float:
         """Each feature counts by its presence and by its weight."""
@@ -264,11 +299,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = TRA
     features = _marks(sample)
     words = [f[1:] for f in features if f[0] == "="]
     model = ToxicityModel(CharacterModel.mixed(trigram_counts(docs), words), {f: k for k, f in enumerate(features)}, np.zeros(2 * len(features)), 0.0)
-    shipped = spark.sparkContext.broadcast((model.characters.costs, model.features))
+    shipped = spark.sparkContext.broadcast((model.characters.costs, model.characters.words, model.features))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs, wanted = shipped.value
-        reader = Reader(Restorer(CharacterModel(costs)), wanted)
+        costs, words, wanted = shipped.value
+        reader = Reader(Restorer(CharacterModel(costs, words)), wanted)
         for batch in batches:
             found = [sorted(reader.read(t).items()) for t in batch.column("text").to_pylist()]
             rows = [pa.array([[f for f, _ in x] for x in found], pa.list_(pa.int32())), pa.array([[round(w, 3) for _, w in x] for x in found], pa.list_(pa.float64()))]

@@ -30,6 +30,16 @@ def test_reader(spark):
     assert reader.read("") == {}
 
 
+@pytest.mark.parametrize(
+    "run, words",
+    [("a s t u p i d", "a stupid"), ("I m o r o n", "i moron"), ("a l o s e r a n d", "loser"), ("y o u a r e a s t u p i d", "stupid"), ("i d i o t l o s e r", "idiot loser"), ("a 1 d 1 0 t", "a idiot")],
+)
+def test_runs_of_several_words(spark, run, words):
+    reader = Reader(restorer(spark), {"=" + w: k for k, w in enumerate(words.split())})
+    assert set(reader.read(f"you are {run}  fool")) == set(range(len(words.split())))
+    assert reader.restorer.restore("w-o-r-d") == "word"
+
+
 def tables(spark):
     return [spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")]
 
