@@ -35,9 +35,8 @@ LEAST_DOCS, LEAST_RATIO = 4, 5.0
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: The weight of n occurrences among so many words is n / (1 + words * DAMPING), at most MOST_WEIGHT.
 DAMPING, MOST_WEIGHT = 0.01, 4.0
-#: Longest token, in characters, that is taken for a disguised word rather than a code.
-LONGEST = 40
-WORD_MEMORY = 300_000
+#: Tokens whose features are remembered, and the longest of them in characters; longer ones are read anew.
+WORD_MEMORY, LONGEST_KNOWN = 300_000, 200
 #: Letters that signs and digits resemble.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -178,7 +177,7 @@ def _spelled(path: tuple | None) -> str:
 
 
 def _disguised(core: str) -> bool:
-    if len(core) > LONGEST or len(core) < 3:
+    if len(core) < 3:
         return False
     letters = sum(c.isalpha() for c in core)
     if letters == len(core):
@@ -219,7 +218,7 @@ class Reader:
         damp = 1 / (1 + DAMPING * len(tokens))
         counts = Counter(tokens)
         if self.restorer is not None:
-            counts.update(m[0].replace(" ", ".") for m in _APART.finditer(low) if len(m[0]) <= 2 * LONGEST)
+            counts.update(m[0].replace(" ", ".") for m in _APART.finditer(low))
         out: dict = {}
         known = self.known
         for token, n in counts.items():
@@ -228,7 +227,8 @@ class Reader:
                 got = self._features(token)
                 if len(known) >= WORD_MEMORY:
                     known.clear()
-                known[token] = got
+                if len(token) <= LONGEST_KNOWN:
+                    known[token] = got
             for f in got:
                 out[f] = out.get(f, 0) + n
         return {f: min(MOST_WEIGHT, n * damp) for f, n in out.items()}

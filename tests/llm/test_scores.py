@@ -40,6 +40,15 @@ def test_runs_of_several_words(spark, run, words):
     assert reader.restorer.restore("w-o-r-d") == "word"
 
 
+def test_long_runs(spark):
+    reader = Reader(restorer(spark), {"=idiot": 0, "=disgusting": 1, "^plai": 2})
+    apart = " ".join("theplainwordsofanordinarytextidiot")  # 67 characters: over 40
+    assert set(reader.read(apart)) >= {0}
+    assert set(reader.read(" ".join("theplainwordsofanordinarytext" * 9 + "idiot"))) >= {0}
+    assert set(reader.read("-".join("disgusting" + "ordinarytext" * 3))) >= {1}
+    assert reader.read("0a" * 30_000) == {}
+
+
 def tables(spark):
     return [spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")]
 
