@@ -7,3 +7,7 @@ class GapDetectionError(Exception):
 
 class InsufficientSegmentsDataError(Exception):
     """The segments table does not reach far enough past the processed range."""
+
+
+class ConflictingChangeError(Exception):
+    """Another writer changed the table first."""

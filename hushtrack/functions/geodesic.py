@@ -47,10 +47,14 @@ def _arc_length(cos2_az0, sigma, sin_sigma, cos_sigma, cos_2sm):
 
 
 def _iterate(u1, u2, dlon):
-    """Vincenty's iteration. Returns metres and a mask of the pairs that settled."""
+    """Vincenty's iteration. Returns metres and a mask of the pairs that settled.
+
+    A pair is left alone as soon as it settles, so its distance does not depend on the pairs beside it.
+    """
+    meters = np.full(len(dlon), np.nan)
+    settled = np.zeros(len(dlon), dtype=bool)
+    at, lam = np.arange(len(dlon)), dlon
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
-    lam = dlon.copy()
-    settled = np.zeros(len(lam), dtype=bool)
     for _ in range(_MAX_ROUNDS):
         sin_lam, cos_lam = np.sin(lam), np.cos(lam)
         sin_sigma = np.hypot(c2 * sin_lam, c1 * s2 - s1 * c2 * cos_lam)
@@ -63,12 +67,17 @@ def _iterate(u1, u2, dlon):
             equatorial, 0.0, cos_sigma - 2 * s1 * s2 / np.where(equatorial, 1, cos2_az0)
         )
         new = dlon + _longitude_correction(sin_az0, cos2_az0, sigma, sin_sigma, cos_sigma, cos_2sm)
-        settled = np.abs(new - lam) < 1e-13
+        close = np.abs(new - lam) < 1e-13
+        if close.any():
+            done = at[close]
+            meters[done] = _arc_length(*(v[close] for v in (cos2_az0, sigma, sin_sigma, cos_sigma, cos_2sm)))
+            settled[done] = np.abs(new[close]) <= np.pi
+            going = ~close
+            at, new, dlon, s1, c1, s2, c2 = (v[going] for v in (at, new, dlon, s1, c1, s2, c2))
+            if not len(at):
+                break
         lam = new
-        if settled.all():
-            break
-    settled &= np.abs(lam) <= np.pi
-    return _arc_length(cos2_az0, sigma, sin_sigma, cos_sigma, cos_2sm), settled
+    return meters, settled
 
 
 def _bisect(u1, u2, dlon):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hushtrack.functions.time import instant
 from hushtrack.sources.messages import in_days, of_vessels
@@ -18,17 +18,42 @@ GAP_KEY = ("gap_id", "start_timestamp")
 def last_versions(gaps: DataFrame) -> DataFrame:
     """Latest version of each gap, one row per gap; closed wins within one version.
 
-    Rows are ranked by one fixed-width number (version, closed or not, hash of the row), so the
-    greatest rank of each gap is a hash aggregate over narrow rows. Whole rows are exchanged once, to
-    meet the rank of their gap, and never sorted; rows repeated as a whole become one.
+    The input is evaluated once: rows are ranked where they meet, so a column that is not the same
+    in two evaluations cannot lose a gap. Rows of one gap, version and state are ordered by all their
+    columns. For stored gaps :func:`last_stored_versions` reads narrower rows.
     """
-    moment = F.coalesce(F.unix_micros("version"), F.lit(0)) * 2 + F.coalesce(F.col("is_closed").cast("long"), F.lit(0))
-    fields = [f"`{c}`" for c in gaps.columns]
-    rank = moment.cast("decimal(18,0)") * F.lit(Decimal(1 << 63)) + F.shiftrightunsigned(F.xxhash64(*fields), 1)
-    ranked = gaps.withColumn("_rank", rank.cast("decimal(38,0)"))
-    greatest = ranked.groupBy(*GAP_KEY).agg(F.max("_rank").alias("_greatest")).hint("shuffle_hash")
-    latest = ranked.join(greatest, list(GAP_KEY)).where("_rank = _greatest")
-    return latest.select(*fields).distinct()
+    order = [F.desc_nulls_last("version"), F.desc_nulls_last("is_closed")]
+    order += [F.desc_nulls_last(f"`{f.name}`") for f in gaps.schema if _orderable(f.dataType)]
+    ranked = gaps.withColumn("_rank", F.row_number().over(Window.partitionBy(*GAP_KEY).orderBy(*order)))
+    return ranked.where("_rank = 1").drop("_rank")
+
+
+def _orderable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def stored_rank(*stored_key: str) -> str:
+    """SQL of a number that is greater for later versions, then for closed rows, then by place in storage."""
+    moment = "coalesce(unix_micros(version), 0L) * 2L + coalesce(cast(is_closed as long), 0L)"
+    place = f"shiftrightunsigned(xxhash64({', '.join(stored_key)}), 1)"
+    return f"cast(cast({moment} as decimal(18,0)) * {1 << 63}BD + {place} as decimal(38,0))"
+
+
+def last_stored_versions(gaps: DataFrame, stored_key: Sequence[str]) -> DataFrame:
+    """The same as :func:`last_versions` for rows that carry their place in storage.
+
+    ``stored_key`` names columns that a stored row always has alike however often it is read, such as
+    file and row number, and that no other row has; they are dropped. The newest row of each gap is found
+    by a hash aggregate over the key, the version and one number for the place. Whole rows then meet
+    that number, and filters on any of their columns reach the scan before they do: a filter takes away
+    whole rows and cannot change which row of a gap is the newest.
+    """
+    ranked = gaps.withColumn("_rank", F.expr(stored_rank(*stored_key))).drop(*stored_key)
+    # A month is given by the start of a gap. Where the table has it as partition, a filter on it
+    # prunes both scans because it is among the columns that are joined.
+    key = [*GAP_KEY, *[c for c in ("start_month",) if c in gaps.columns]]
+    greatest = ranked.groupBy(*key).agg(F.max("_rank").alias("_rank"))
+    return ranked.join(greatest, [*key, "_rank"], "left_semi").drop("_rank")
 
 
 def last_versions_with_ties(gaps: DataFrame) -> DataFrame:

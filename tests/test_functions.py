@@ -3,6 +3,8 @@ import unicodedata
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hushtrack.functions import cells, geodesic, text, units
@@ -48,6 +50,20 @@ def test_both_solvers_agree():
     assert np.abs(geodesic._bisect(u(lat1), u(lat2), dlon) - geodesic.inverse_m(lat1, lon1, lat2, lon2)).max() < 1e-6
 
 
+@given(st.integers(0, 2**32 - 1), st.lists(st.integers(1, 40), min_size=1, max_size=6))
+def test_distance_does_not_depend_on_the_batch(seed, sizes):
+    rng = np.random.default_rng(seed)
+    n = sum(sizes)
+    lat1, lat2 = rng.uniform(-90, 90, (2, n))
+    lon1, lon2 = rng.uniform(-180, 180, (2, n))
+    hard = rng.random(n) < 0.2  # nearly antipodal, or one point
+    lat2, lon2 = np.where(hard, -lat1 + rng.choice([0, 1e-4], n), lat2), np.where(hard, lon1 + 180, lon2)
+    together = geodesic.inverse_m(lat1, lon1, lat2, lon2)
+    cuts = np.cumsum(sizes)[:-1]
+    apart = np.concatenate([geodesic.inverse_m(*p) for p in zip(*(np.split(v, cuts) for v in (lat1, lon1, lat2, lon2)))])
+    assert together.tobytes() == apart.tobytes()
+
+
 def test_distance_nulls(spark):
     rows = [(1.0, 2.0, 3.0, 4.0), (None, 2.0, 3.0, 4.0), (1.0, 2.0, 3.0, None), (90.5, 2.0, 3.0, 4.0), (None, None, None, None)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")

@@ -1,14 +1,15 @@
 import json
+import os
 from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from hushtrack import schemas
-from hushtrack.errors import InsufficientSegmentsDataError
+from hushtrack.errors import ConflictingChangeError, InsufficientSegmentsDataError
 from hushtrack.operators import versions
 from hushtrack.operators.detect import Settings, detect_gaps
-from hushtrack.plans import reports
+from hushtrack.plans import detect_job, reports
 from hushtrack.plans.detect_job import DetectConfig, read_messages, read_open_gaps, run_detect, segments_readiness
 from hushtrack.sources.messages import in_days, read_json_messages, select_messages, union_sources
 from hushtrack.sources.tables import GapsTable, conform, read_json_gaps
@@ -116,15 +117,35 @@ def test_table_keeps_key_columns_and_has_a_view_of_its_own(spark, tmp_path):
     assert spark.table(table.view_name).count() == 1
 
 
-def test_latest_versions_plan(spark, tmp_path):
-    path = str(tmp_path / "gaps")
-    detect_gaps(frame(spark, [message("2024-01-01 10:00"), message("2024-01-03 10:00")])).write.parquet(path)
-    gaps = spark.read.parquet(path)
-    text = versions.last_versions(gaps.unionByName(gaps))._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in text and "ShuffledHashJoin" in text
-    assert versions.last_versions(gaps.unionByName(gaps)).count() == 1
-    search = gaps.where(versions.to_be_recreated("2024-01-02"))._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [Or(" in search
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_versions_read_the_input_once(spark, tmp_path):
+    """A column that differs between evaluations, and a filter that reaches one side of a join, lose no gap."""
+    gaps = version_rows(spark).withColumn("distance_m", F.rand())
+    latest = versions.last_versions(gaps)
+    assert plan(latest).count("Scan") + plan(latest).count("LocalTable") == 1
+    for _ in range(3):
+        assert versions.select_gaps(gaps, end_date="2024-01-05").count() == 1
+        assert latest.where("end_timestamp < timestamp'2024-02-01'").count() == 2
+    assert versions.last_versions(gaps.unionByName(gaps)).count() == 4
+
+
+def test_stored_versions(spark, tmp_path):
+    table = GapsTable(spark, str(tmp_path / "gaps"))
+    rows = version_rows(spark)
+    table.append(rows.limit(3))
+    table.append(rows)  # rows stored twice are one gap still
+    latest = table.last_versions()
+    assert state(latest.drop("start_month"), True) == state(versions.last_versions(rows), True)
+    text = plan(latest.where("not is_closed and start_month = date'2024-01-01'"))
+    assert "SortAggregate" not in text and "LeftSemi" in text
+    scans = [part for part in text.split("FileScan parquet")[1:]]
+    assert len(scans) == 2 and all("start_month" in s.partition("PartitionFilters: ")[2].split("]")[0] for s in scans), text
+    assert sorted("EqualTo(is_closed" in s.split("ReadSchema")[0] for s in scans) == [False, True]  # the filter is on whole rows only
+    search = table.read().where(versions.to_be_recreated("2024-01-02"))
+    assert "PushedFilters: [Or(" in plan(search)
 
 
 def test_versions(spark):
@@ -168,6 +189,56 @@ def test_table_delete_rewrites_and_empties_months(spark, tmp_path):
         conform(gaps.drop("is_closed"), schemas.GAP)
 
 
+def test_rerun_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
+    table = GapsTable(spark, str(tmp_path / "gaps"))
+    gaps = version_rows(spark)
+    table.append(gaps)
+    before, reader = state(table.read(), True), table.read()
+    with monkeypatch.context() as patch:
+        patch.setattr(detect_job, "detect", lambda *a: 1 / 0)
+        config = DetectConfig("2024-01-02", "2024-01-09", messages=frame(spark, [message("2024-01-03 10:00")]),
+                              segments=spark.createDataFrame([], "seg_id string, last_timestamp timestamp, good_seg2 boolean, overlapping_and_short boolean"),
+                              gaps_path=table.path)
+        with pytest.raises(ZeroDivisionError):
+            run_detect(spark, config)
+    assert state(table.read(), True) == before
+    half = table.begin().delete_recreated("2024-01-02")
+    assert half.read().count() < len(before)
+    assert state(table.read(), True) == before
+    half.append(gaps.limit(1)).commit()
+    assert table.read().count() == half.read().count()
+    assert state(reader, True) == before  # a reader keeps the snapshot it began with
+    late = table.begin()
+    table.append(gaps.limit(1))
+    with pytest.raises(ConflictingChangeError):
+        late.append(gaps).commit()
+    rows = state(table.read(), True)
+    table.compact()
+    assert state(table.read(), True) == rows and len(table.snapshots.parts()) == 1
+    table.snapshots.vacuum(keep=1)
+    assert state(table.read(), True) == rows and len(os.listdir(tmp_path / "gaps" / "rows")) == 1
+
+
+def test_lasting_views(spark, tmp_path):
+    table = GapsTable(spark, str(tmp_path / "gaps"))
+    gaps = version_rows(spark)
+    table.append(gaps.limit(2))
+    table.catalogue("lasting_gaps")
+    other = spark.newSession()
+    assert other.table("lasting_gaps").count() == 2
+    table.append(gaps.exceptAll(gaps.limit(2)))
+    assert other.table("lasting_gaps").count() == 2  # until the view is replaced
+    table.catalogue("lasting_gaps")
+    assert state(other.table("lasting_gaps").drop("start_month"), True) == state(gaps, True)
+    latest = other.table("lasting_gaps_last_versions")
+    assert state(latest.drop("start_month"), True) == state(versions.last_versions(gaps), True)
+    table.delete_recreated("2023-01-01")
+    table.catalogue("lasting_gaps")
+    assert other.table("lasting_gaps_last_versions").count() == 0
+    layout = other.sql("describe table extended lasting_gaps_rows").collect()
+    assert {"commit", "start_month"} <= {r.col_name for r in layout}
+
+
 def test_gate(spark):
     segments = spark.createDataFrame([("s", at("2024-01-10 05:00"), True, False)], "seg_id string, last_timestamp timestamp, good_seg2 boolean, overlapping_and_short boolean")
     ready = lambda end, n: segments_readiness(segments, end, n).first()
