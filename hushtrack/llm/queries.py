@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushtrack.llm import bpe, chat, exact, mixing, neighbours, prints, quality, secret_scan, suffixes, toxicity
+from hushtrack.llm import bpe, chat, decontaminate, exact, mixing, neighbours, prints, quality, repair, secret_scan, suffixes, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +68,34 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["first_word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damaged(_table(spark, sf_dir, "conversations"))
+    return repair.repaired(damaged).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op6_quality, op7_toxicity, op8_suffix_dedup, op9_document_fingerprints, op10_mix_sources)
+    for f in (op1_bpe_chunks, op2_exact_dedup, op3_secret_scan, op4_simhash_vantage, op5_chat_format, op6_quality, op7_toxicity, op8_suffix_dedup, op9_document_fingerprints, op10_mix_sources, op11_whitening, op12_decontaminate, op13_repair)
 }
 
 _FLAT = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0d]', '', 'g')"
@@ -90,4 +115,6 @@ ORACLES = {
         {mixing.mixture_sql()}
         SELECT doc_id, m_source AS source, m_lang AS lang, m_topic AS topic, m_n_tokens AS n_tokens,
           round(m_weight, 9) AS weight, m_probability AS probability, m_kept AS kept FROM drawn""",
+    "op12_decontaminate": decontaminate.contaminated_sql(),
+    "op13_repair": repair.repaired_sql(),
 }

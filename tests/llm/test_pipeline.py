@@ -28,5 +28,5 @@ def test_stages(spark):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
