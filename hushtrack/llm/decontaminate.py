@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from hushtrack.llm.fm_index import MOST, FMIndex
 #: Words of a window.
 WINDOW = 10
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Bytes of benchmark texts that are broadcast at once; more are taken block by block.
 PHRASE_BYTES = 32 << 20
 
@@ -130,14 +131,17 @@ class _Shard:
         return pickle.dumps((index.parts(), names[new], separators, self.rows, self.texts), protocol=5)
 
 
-def shards(docs: DataFrame, overlap: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per shard: the texts in lower case, their rows, and the index of their words.
+Batches = Iterator[pa.RecordBatch]
+
 
-    ``docs`` has row, doc_id and text (not null). A text larger than a shard is cut into pieces that
-    share ``overlap`` words, so that each window lies in one piece.
+def _indexing(overlap: int, shard_bytes: int) -> Callable[[Batches], Batches]:
+    """Batches of row, doc_id and text to shards: texts in lower case, their rows, the index of their words.
+
+    A text larger than a shard is cut into pieces that share ``overlap`` words, so that each window
+    lies in one piece.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         def out(shard: _Shard) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([shard.packed()], pa.binary())], ["shard"])
 
@@ -154,7 +158,12 @@ def shards(docs: DataFrame, overlap: int, shard_bytes: int = SHARD_BYTES) -> Dat
         if shard.rows:
             yield out(shard)
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, SHARD)
+    return run
+
+
+def shards(docs: DataFrame, overlap: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """One row per shard, of documents with row, doc_id and text (not null)."""
+    return docs.select("row", "doc_id", "text").mapInArrow(_indexing(overlap, shard_bytes), SHARD)
 
 
 class Phrases:
@@ -193,14 +202,13 @@ def _occurrences(index: FMIndex, names: np.ndarray, phrases: Phrases) -> tuple[n
     return np.repeat(known, sizes), index.locate(rows)
 
 
-def find(shards: DataFrame, phrases: Phrases, id_type: str, whole: bool) -> DataFrame:
-    """Per text of the shards: row, doc_id, n_words, spans that windows cover, and the items found.
+def _finding(sent: Broadcast, whole: bool) -> Callable[[Batches], Batches]:
+    """Shards to one row per text: row, doc_id, n_words, spans that windows cover, and the items found.
 
     A span has its first and last (exclusive) word and byte. Overlapping and adjoining spans are one.
     ``whole`` puts the pieces of a long text together, which needs the shards in the order they were
     made; otherwise there is one row per piece, and n_words counts up to its end.
     """
-    sent = shards.sparkSession.sparkContext.broadcast(phrases)
     schema = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.string()), ("n_words", pa.int64()),
         ("spans", pa.list_(pa.struct([(c, pa.int64()) for c in ("first_word", "end_word", "first_byte", "end_byte")]))),
@@ -227,7 +235,7 @@ def find(shards: DataFrame, phrases: Phrases, id_type: str, whole: bool) -> Data
                     spans.append((first_word + word, first_word + stop, first_byte + int(starts[word]), first_byte + int(ends[stop - 1])))
             yield row, first_word, len(starts), merged(spans), windows, last
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         words, spans, windows = 0, [], set()
         for batch in batches:
             for packed in batch.column("shard"):
@@ -242,8 +250,7 @@ def find(shards: DataFrame, phrases: Phrases, id_type: str, whole: bool) -> Data
                 columns = [pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    found = shards.mapInArrow(run, FOUND.format("string"))
-    return found.withColumn("doc_id", F.col("doc_id").cast(id_type))
+    return run
 
 
 def merged(spans: list[tuple]) -> list[tuple]:
@@ -277,20 +284,20 @@ def contaminated_spans(
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_of().alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text") + F.lit(64))).first()[0] or 0
     blocks = max(1, -(-size // phrase_bytes))
-    index = shards(rows, window - 1, shard_bytes)
-    if blocks > 1:  # the index is made once
-        index = shared(index, "fm-index")
 
-    def found(block: int) -> DataFrame:
+    def phrases(block: int) -> Broadcast:
         # About ``phrase_bytes`` of items come to the driver at a time.
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        return find(index, Phrases([tuple(r) for r in part], window), id_type, whole=blocks == 1)
-
-    if blocks == 1:
-        return found(0).drop("row")
-    each = reduce(DataFrame.unionByName, [shared(found(k), "found") for k in range(blocks)])
+        return docs.sparkSession.sparkContext.broadcast(Phrases([tuple(r) for r in part], window))
+
+    schema, named = FOUND.format("string"), F.col("doc_id").cast(id_type)
+    if blocks == 1:  # a shard is searched where it was made
+        index, find = _indexing(window - 1, shard_bytes), _finding(phrases(0), whole=True)
+        return rows.mapInArrow(lambda batches: find(index(batches)), schema).drop("row").withColumn("doc_id", named)
+    index = shared(shards(rows, window - 1, shard_bytes), "fm-index")
+    each = reduce(DataFrame.unionByName, [shared(index.mapInArrow(_finding(phrases(k), whole=False), schema), "found") for k in range(blocks)])
     together = each.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
+        F.first("doc_id").cast(id_type).alias("doc_id"),
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
