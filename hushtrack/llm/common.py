@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushtrack.storage import written
+from hushtrack.storage import fresh_path, written
 
 #: The white space that the operators know, ``[\x20\x09-\x0D]``.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -27,6 +28,29 @@ def shared(df: DataFrame, name: str) -> DataFrame:
     return written(df, f"llm-{name}")
 
 
+class Scratch:
+    """Tables in the shared folder that go when their last reader has run.
+
+    ``with Scratch(spark) as keep: table = keep(df, name)``. What is returned from the block must not
+    read them any more: write it with :func:`shared` first.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path = spark, fresh_path(spark, "llm-scratch")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def unit_hash(column: Column) -> Column:
     """A number in [0, 1) from the first 32 bits of the value's MD5."""
     digits = F.substring(F.md5(column.cast("string").cast("binary")), 1, 8)
