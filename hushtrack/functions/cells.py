@@ -73,6 +73,52 @@ def cell(lat: Column, lon: Column) -> Column:
     return _cell(lat.cast("double"), lon.cast("double"))
 
 
+def cell_boxes(cells) -> np.ndarray:
+    """West, south, east and north of boxes, in degrees, that hold the cells; one row per cell.
+
+    Sides of cells are great circles, so boxes are wider than the corners by a margin. A cell at a pole or
+    at the antimeridian gets all longitudes.
+    """
+    ids = np.asarray(cells, np.int64).view(np.uint64)
+    low = ids & (~ids + np.uint64(1))
+    level = _MAX_LEVEL - np.round(np.log2(low.astype(float)) / 2).astype(np.int64)
+    face = (ids >> np.uint64(61)).astype(np.int64)
+    position = ((ids & np.uint64((1 << 61) - 1)) >> np.uint64(1)).astype(np.int64)
+    i, j, turn = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), face & _SWAP
+    for bit in range(_MAX_LEVEL - 1, -1, -1):
+        here = _MAX_LEVEL - 1 - bit < level
+        child = (position >> (2 * bit)) & 3
+        corner = _CHILD_CORNER[turn, child]
+        i, j = np.where(here, i | ((corner >> 1) << bit), i), np.where(here, j | ((corner & 1) << bit), j)
+        turn = np.where(here, turn ^ _ORIENTATION_CHANGE[child], turn)
+    width = 1.0 / (1 << level)
+    across = np.linspace(0, 1, _PER_SIDE)
+    s = (i / (1 << _MAX_LEVEL))[:, None, None] + width[:, None, None] * across[None, :, None]
+    t = (j / (1 << _MAX_LEVEL))[:, None, None] + width[:, None, None] * across[None, None, :]
+    u, v = (np.broadcast_to(_plane(w), (len(ids), _PER_SIDE, _PER_SIDE)) for w in (s, t))
+    f, one = face[:, None, None], np.ones_like(u)
+    x = np.choose(f, [one, -u, -u, -one, v, v])
+    y = np.choose(f, [u, one, -v, -v, -one, u])
+    z = np.choose(f, [v, v, one, -u, -u, -one])
+    lat, lon = np.degrees(np.arctan2(z, np.hypot(x, y))), np.degrees(np.arctan2(y, x))
+    # Between neighbouring sampled points the cell bends by far less than half their distance.
+    margin = np.degrees(width / _PER_SIDE) * 0.5 + 1e-9
+    south, north = lat.min(axis=(1, 2)) - margin, lat.max(axis=(1, 2)) + margin
+    stretch = 1 / np.maximum(np.cos(np.radians(np.maximum(np.abs(south), np.abs(north)).clip(0, 90))), 1e-12)
+    west, east = lon.min(axis=(1, 2)) - margin * stretch, lon.max(axis=(1, 2)) + margin * stretch
+    whole = (east - west > 180) | (west < -180) | (east > 180) | (np.maximum(np.abs(south), np.abs(north)) >= 90)
+    return np.stack([np.where(whole, -180.0, west), south, np.where(whole, 180.0, east), north], axis=1)
+
+
+_PER_SIDE = 9
+_CHILD_CORNER = np.argsort(_CHILD_POSITION, axis=1)
+
+
+def _plane(s: np.ndarray) -> np.ndarray:
+    """The inverse of the quadratic grid of a face."""
+    return np.where(s >= 0.5, (4 * s * s - 1) / 3, (1 - 4 * (1 - s) ** 2) / 3)
+
+
 def ring_edges(rings: Column) -> Column:
     """Edges of a polygon given as ``array<array<struct<lon,lat>>>``; rings close themselves."""
 
@@ -89,8 +135,8 @@ def ring_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, edges))
 
 
-def inside(lon: Column, lat: Column, edges: Column) -> Column:
-    """Even-odd test of a point against polygon edges, in plain longitude/latitude space."""
+def crossings(lon: Column, lat: Column, edges: Column) -> Column:
+    """How many edges a line from a point to the east crosses, in plain longitude/latitude space."""
 
     def crossed(edge):
         rise = edge["y2"] - edge["y1"]
@@ -98,4 +144,28 @@ def inside(lon: Column, lat: Column, edges: Column) -> Column:
         spans = (edge["y1"] > lat) != (edge["y2"] > lat)
         return spans & F.when(rise > 0, side < 0).otherwise(side > 0)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+    return F.size(F.filter(edges, crossed))
+
+
+def inside(lon: Column, lat: Column, edges: Column) -> Column:
+    """Even-odd test of a point against all edges of a polygon."""
+    return crossings(lon, lat, edges) % 2 == 1
+
+
+def cut_to_box(box, edges: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """What of a polygon matters to points of a box: (parity, flips, edges).
+
+    For a point of the box the number of edges (rows of x1, y1, x2, y2) east of it has the parity of: the
+    given one, and the flips at its latitude or south of it, and the crossings of the edges returned. Edges
+    wholly west of the box are never crossed. Those wholly east of it count by latitude alone, so only
+    latitudes within the box where their number changes by one are kept.
+    """
+    west, south, east, north = box
+    x1, y1, x2, y2 = edges.T
+    low, high = np.minimum(y1, y2), np.maximum(y1, y2)
+    near = (low <= north) & (high > south) & (np.maximum(x1, x2) >= west)
+    beyond = near & (np.minimum(x1, x2) > east)
+    parity = int(np.count_nonzero(beyond & (low <= south)))
+    turns = np.concatenate([low[beyond & (low > south)], high[beyond & (high <= north)]])
+    values, times = np.unique(turns, return_counts=True)
+    return parity % 2, values[times % 2 == 1], edges[near & ~beyond]

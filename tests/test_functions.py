@@ -145,3 +145,16 @@ def test_parse_time(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string").select(F.unix_micros(parse_time(F.col("v"))))
     tens = 1704103200000000
     assert [r[0] for r in df.collect()] == [1704412120000000, 1704412120500000, tens, tens, None, None]
+
+
+def test_cell_boxes_hold_their_points():
+    rng = np.random.default_rng(2)
+    lat, lon = np.degrees(np.arcsin(rng.uniform(-1, 1, 20000))), rng.uniform(-180, 180, 20000)
+    lat[:600], lon[600:900] = rng.uniform(89.5, 90, 600) * rng.choice([-1, 1], 600), rng.choice([-180, 180], 300)
+    for level in (4, 10, 13):
+        west, south, east, north = cells.cell_boxes(cells.cell_ids(lat, lon, level)).T
+        assert ((west <= lon) & (lon <= east) & (south <= lat) & (lat <= north)).all()
+    some = np.abs(lat) < 60
+    box = cells.cell_boxes(cells.cell_ids(lat[some], lon[some], 10))
+    assert np.median(box[:, 3] - box[:, 1]) < 0.2
+

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hushtrack import schemas
 from hushtrack.functions.cells import cell_ids
-from hushtrack.operators.regions import points_in_regions, region_cells, regions_by_layer
+from hushtrack.operators.regions import points_in_regions, region_cells, region_pieces, regions_by_layer
 from hushtrack.plans import publish
 
 T0 = datetime(2024, 1, 1)
@@ -157,3 +158,37 @@ def test_regions_against_brute_force(spark):
     for n, of_layers in grouped.items():
         for layer in schemas.REGION_LAYERS:
             assert of_layers[layer] == sorted(r for m, l, r in want if m == n and l == layer)
+
+
+def test_concave_and_holed_regions_by_cell(spark):
+    """Stars with a hole, of very many edges, against all edges in plain Python."""
+    rng = random.Random(4)
+
+    def ring(x, y, size, count):
+        around = [(2 * math.pi * k / count, size * rng.uniform(0.4, 1.0)) for k in range(count)]
+        return [{"lon": x + r * math.cos(a), "lat": y + r * math.sin(a)} for a, r in around]
+
+    shapes = [("a", "eez", [ring(10, 20, 1.5, 400), ring(10, 20, 0.4, 40)]), ("b", "eez", [ring(10.5, 20.3, 0.8, 9)]), ("c", "fao", [ring(-60, -40, 1.2, 60)])]
+    points = [(k, *rng.choice([(10, 20), (10.5, 20.3), (-60, -40)])) for k in range(1500)]
+    points = [(k, x + rng.uniform(-1.6, 1.6), y + rng.uniform(-1.6, 1.6)) for k, x, y in points]
+    ids = [int(c) for c in cell_ids([p[2] for p in points], [p[1] for p in points])]
+
+    def holds(rings, lon, lat):
+        odd = False
+        for r in rings:
+            for a, b in zip(r, r[1:] + r[:1]):
+                if (a["lat"] > lat) != (b["lat"] > lat) and lon < a["lon"] + (b["lon"] - a["lon"]) * (lat - a["lat"]) / (b["lat"] - a["lat"]):
+                    odd = not odd
+        return odd
+
+    regions = spark.createDataFrame([(i, l, r, sorted(set(ids))) for i, l, r in shapes] + [("d", "fao", None, None), ("e", "fao", [], ids[:3])], schemas.REGION)
+    located = spark.createDataFrame([(*p, c) for p, c in zip(points, ids)], "n int, lon double, lat double, s2_cell long")
+    want = {(n, l, i) for n, x, y in points for i, l, r in shapes if holds(r, x, y)}
+    pieces = region_pieces(regions)
+    assert {tuple(r) for r in points_in_regions(located, regions, "n").collect()} == want
+    assert {tuple(r) for r in points_in_regions(located, pieces, "n").collect()} == want and len(want) > 300
+    sizes = [len(r.edges) for r in pieces.where("id = 'a'").collect()]
+    assert max(sizes) < 100 and any(r.parity and not r.edges and not r.flips for r in pieces.collect())
+    plan = points_in_regions(located, pieces, "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
