@@ -110,7 +110,7 @@ def cell_boxes(cells) -> np.ndarray:
     return np.stack([np.where(whole, -180.0, west), south, np.where(whole, 180.0, east), north], axis=1)
 
 
-_PER_SIDE = 9
+_PER_SIDE = 5
 _CHILD_CORNER = np.argsort(_CHILD_POSITION, axis=1)
 
 
@@ -152,20 +152,26 @@ def inside(lon: Column, lat: Column, edges: Column) -> Column:
     return crossings(lon, lat, edges) % 2 == 1
 
 
-def cut_to_box(box, edges: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-    """What of a polygon matters to points of a box: (parity, flips, edges).
+def cut_to_boxes(boxes: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """What of a polygon matters to points of each box: parity, and by box the flips and edges, if any.
 
-    For a point of the box the number of edges (rows of x1, y1, x2, y2) east of it has the parity of: the
+    For a point of a box the number of edges (rows of x1, y1, x2, y2) east of it has the parity of: the
     given one, and the flips at its latitude or south of it, and the crossings of the edges returned. Edges
     wholly west of the box are never crossed. Those wholly east of it count by latitude alone, so only
     latitudes within the box where their number changes by one are kept.
     """
-    west, south, east, north = box
     x1, y1, x2, y2 = edges.T
     low, high = np.minimum(y1, y2), np.maximum(y1, y2)
+    west, south, east, north = boxes.T[:, :, None]
     near = (low <= north) & (high > south) & (np.maximum(x1, x2) >= west)
     beyond = near & (np.minimum(x1, x2) > east)
-    parity = int(np.count_nonzero(beyond & (low <= south)))
-    turns = np.concatenate([low[beyond & (low > south)], high[beyond & (high <= north)]])
-    values, times = np.unique(turns, return_counts=True)
-    return parity % 2, values[times % 2 == 1], edges[near & ~beyond]
+    parity = np.count_nonzero(beyond & (low <= south), axis=1) % 2
+    flips, kept = {}, {}
+    starts, ends = beyond & (low > south), beyond & (high <= north)
+    for k in np.flatnonzero((starts | ends).any(axis=1)).tolist():
+        values, times = np.unique(np.concatenate([low[starts[k]], high[ends[k]]]), return_counts=True)
+        flips[k] = values[times % 2 == 1]
+    near &= ~beyond
+    for k in np.flatnonzero(near.any(axis=1)).tolist():
+        kept[k] = edges[near[k]]
+    return parity, flips, kept

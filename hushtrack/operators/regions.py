@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hushtrack.functions.cells import cell_boxes, crossings, cut_to_box, ring_edges
+from hushtrack.functions.cells import cell_boxes, crossings, cut_to_boxes, ring_edges
 from hushtrack.schemas import REGION_LAYERS
 
 
@@ -39,21 +39,27 @@ def region_pieces(regions: DataFrame) -> DataFrame:
     parts = F.explode(F.sequence(F.lit(0), F.floor(last / CELLS_AT_ONCE).cast("int"))).alias("part")
     dealt = regions.where(F.size("s2_cells") > 0).select("id", "layer", ring_edges(F.col("geo")).alias("edges"), "s2_cells", parts)
     some = F.slice("s2_cells", F.col("part") * CELLS_AT_ONCE + 1, CELLS_AT_ONCE)
-    # Neighbouring rows are pieces of one region; a large one would fill a task.
-    dealt = dealt.select("id", "layer", "edges", some.alias("cells")).repartition("id", "layer", "cells")
+    # Neighbouring rows are parts of one region, and small rows are much work here: deal them out, by a
+    # fixed number so that the adaptive planner does not put them back together.
+    tasks = int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("id", "layer", "edges", some.alias("cells")).repartition(tasks, "id", "layer", "cells")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 edges = np.array([[e[k] for k in ("x1", "y1", "x2", "y2")] for e in row["edges"] or []], float).reshape(-1, 4)
-                out = []
-                for cell, box in zip(row["cells"], cell_boxes(row["cells"])):
-                    parity, flips, near = cut_to_box(box, edges)
-                    if parity or len(flips) or len(near):
-                        kept = [dict(zip(("x1", "y1", "x2", "y2"), e)) for e in near.tolist()]
-                        out.append((cell, row["layer"], row["id"], parity, flips.tolist(), kept))
-                names = _SCHEMA.names
-                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=_SCHEMA)
+                cells = np.array(row["cells"], np.int64)
+                parity, flips, near = cut_to_boxes(cell_boxes(cells), edges)
+                some = [k for k, p in enumerate(parity.tolist()) if p or k in flips or k in near]
+                columns = [
+                    pa.array(cells[some]),
+                    pa.repeat(pa.scalar(row["layer"], pa.string()), len(some)),
+                    pa.repeat(pa.scalar(row["id"], pa.string()), len(some)),
+                    pa.array(parity[some], pa.int32()),
+                    pa.array([flips.get(k, ()) for k in some], pa.list_(pa.float64())),
+                    pa.array([[dict(zip(("x1", "y1", "x2", "y2"), e)) for e in near[k].tolist()] if k in near else () for k in some], pa.list_(_EDGE)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
     return dealt.mapInArrow(cut, _PIECES)
 
