@@ -14,6 +14,7 @@ from hushtrack.functions import text, units
 from hushtrack.functions.cells import cell
 from hushtrack.functions.time import as_date, epoch_seconds
 from hushtrack.operators import versions
+from hushtrack.operators.joins import Limits
 from hushtrack.operators.detect import Settings, close_open_gaps, detect_gaps, open_gaps, run_window
 from hushtrack.plans import publish, reports
 from hushtrack.plans.detect_job import (
@@ -26,6 +27,7 @@ from hushtrack.plans.detect_job import (
 from hushtrack.sources import messages as sources
 from hushtrack.sources import tables
 from hushtrack.storage import fresh_path, written
+from hushtrack.streaming import microbatch
 from hushtrack.streaming.incremental import ranges, run_daily
 
 from harness import derived, oracles as sql
@@ -565,6 +567,48 @@ def daily_replay(spark, sf_dir):
     return latest.drop(*_DISTANCE)
 
 
+@query(
+    "stream_replay",
+    sql.with_cte(sql.MESSAGES, sql.paired(), body=f"{sql.closed(6)} UNION ALL {sql.still_open(6, LAST)}"),
+)
+def stream_replay(spark, sf_dir):
+    """The same gaps by micro-batches: messages arrive in three parts, some of them after their day was processed."""
+    raw = derived.raw_messages(spark, sf_dir)
+    config = DetectConfig(
+        start_date=FIRST,
+        end_date=LAST,
+        messages=raw,  # replaced by the messages that the stream has stored
+        segments=written(derived.segs_activity(spark, sf_dir), "segments"),
+        gaps_path=fresh_path(spark, "stream-gaps"),
+        min_gap_length_h=6,
+    )
+    arrivals, stored, checkpoint = (fresh_path(spark, f"stream-{n}") for n in ("arrivals", "messages", "checkpoint"))
+    # Every 50th message of the two days before a part ends comes with the next one.
+    late = F.expr("msgid % 50 = 0 and day(timestamp) in (9, 10, 19, 20)").cast("int")
+    part = F.least(F.lit(2), F.floor((F.dayofmonth("timestamp") - 1) / 10)).cast("int") + late
+    for number in range(3):
+        raw.where(part == number).write.mode("append").parquet(arrivals)
+        arriving = spark.readStream.schema(raw.schema).parquet(arrivals)
+        microbatch.detect_stream(arriving, config, stored, checkpoint).awaitTermination()
+    return _plain(microbatch.finish(spark, config, stored))
+
+
+@query("gaps_by_day_layout", _CLOSED)
+def gaps_by_day_layout(spark, sf_dir):
+    """Messages stored by day, requests of the second pass taken in ranges that open their days alone."""
+    path = fresh_path(spark, "messages-by-day")
+    sources.write_by_day(derived.raw_messages(spark, sf_dir), path)
+    messages = sources.select_messages(spark.read.parquet(path))
+    return _plain(detect_gaps(messages, Settings(limits=Limits(broadcast_bytes=1 << 20))))
+
+
+@query("gaps_derived_window", sql.with_cte(sql.MESSAGES, sql.paired(), body=sql.closed(12)))
+def gaps_derived_window(spark, sf_dir):
+    """A range of more than 180 days splits the tracks into windows without being asked to."""
+    gaps = run_window(_messages(spark, sf_dir), None, ("2023-01-01", "2024-02-01"), Settings(), eval_last=False)
+    return _plain(gaps)
+
+
 @query(
     "segments_ready",
     sql.with_cte(

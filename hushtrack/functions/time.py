@@ -8,6 +8,8 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hushtrack.schemas import MESSAGE_DAY
+
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_HOUR = 3_600 * MICROS_PER_SECOND
 MICROS_PER_DAY = 24 * MICROS_PER_HOUR
@@ -63,6 +65,31 @@ def instant_for(df: DataFrame, column: str, value: date | datetime | str | int)
     return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def utc_day(us: Column) -> Column:
+    """UTC day of an instant given in microseconds, whatever the session's zone."""
+    return F.date_from_unix_date(F.call_function("div", us - F.pmod(us, F.lit(MICROS_PER_DAY)), F.lit(MICROS_PER_DAY)).cast("int"))
+
+
+def within(df: DataFrame, column: str, low_us: int | None, high_us: int | None) -> Column:
+    """Half-open range of instants on the raw column, so that it reaches the scan.
+
+    Where a table of messages is partitioned by day the range is put to the days as well, so that only the
+    folders of its days are listed and opened. Rows of other sources, whose day is null, are judged by
+    their time alone.
+    """
+    condition, days = F.lit(True), F.lit(True)
+    day = F.col(MESSAGE_DAY)
+    if low_us is not None:
+        condition &= F.col(column) >= instant_for(df, column, low_us)
+        days &= day >= F.lit(_EPOCH.date() + timedelta(days=low_us // MICROS_PER_DAY))
+    if high_us is not None:
+        condition &= F.col(column) < instant_for(df, column, high_us)
+        days &= day <= F.lit(_EPOCH.date() + timedelta(days=(high_us - 1) // MICROS_PER_DAY))
+    if column == "timestamp" and MESSAGE_DAY in df.columns:
+        condition &= day.isNull() | days
+    return condition
+
+
 def instant(value: date | datetime | str) -> Column:
     """Timestamp literal; folds to a constant, so comparisons with it reach the scan."""
     return F.timestamp_micros(F.lit(instant_micros(value)))

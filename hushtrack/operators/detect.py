@@ -13,14 +13,13 @@ from hushtrack.errors import GapDetectionError
 from hushtrack.functions import text, units
 from hushtrack.functions.geodesic import distance_m
 from hushtrack.functions.time import (
-    MICROS_PER_DAY,
     MICROS_PER_HOUR,
     hours_to_micros,
     as_instant,
-    instant_for,
     instant_micros,
     micros,
     whole_second,
+    within,
 )
 from hushtrack.operators.fill import fill
 from hushtrack.operators.joins import Limits
@@ -31,8 +30,9 @@ from hushtrack.operators.slots import (
     neighbours_bucketed,
     silences,
     slot_summary,
+    window_us,
 )
-from hushtrack.schemas import COUNT_COLUMNS, GAP, MANDATORY
+from hushtrack.schemas import COUNT_COLUMNS, GAP, MANDATORY, MESSAGE_DAY
 from hushtrack.storage import written
 
 DateRange = tuple[date | str, date | str]
@@ -49,7 +49,9 @@ class Settings:
     n_hours_before: length of the look-back in which positions are counted.
     keys: columns whose values make one track.
     version: time stamp of the run, truncated to the second.
-    bucket_days: split the tracks into time buckets as well; results do not depend on it.
+    bucket_days: split the tracks into time buckets of this length (at most 180 days) as well; by default
+        those of a range longer than 180 days, and tracks with very many narrow slots, are split. Results do
+        not depend on it.
     normalize_output: flat ``start_*`` / ``end_*`` columns, or two structs ``OFF`` and ``ON``.
     """
 
@@ -160,14 +162,13 @@ def _run(
     require_columns(messages, keys)
     if date_range is not None:
         start_us, end_us = (instant_micros(d) for d in date_range)
-        messages = messages.where(F.col("timestamp") < instant_for(messages, "timestamp", date_range[1]))
+        messages = messages.where(within(messages, "timestamp", None, end_us))
         earliest_off_us = start_us - threshold_us
     if date_range is None:
         known_open = None  # without a range there is no first message to close a gap with
     if earliest_off_us is not None:
         # Nothing before the look-back of the earliest gap matters; the scan can skip it.
-        oldest = instant_for(messages, "timestamp", earliest_off_us - look_back_us)
-        messages = messages.where(F.col("timestamp") >= oldest)
+        messages = messages.where(within(messages, "timestamp", earliest_off_us - look_back_us, None))
 
     rules = Rules(
         threshold_us=threshold_us,
@@ -195,10 +196,10 @@ def find(
 ) -> DataFrame:
     """First pass, written to the shared folder: the second pass takes it in ranges of time."""
     summary = slot_summary(tracks, keys, rules.grid)
-    if settings.bucket_days is None:
+    bucket_us = window_us(tracks, keys, rules, settings.bucket_days)
+    if bucket_us is None:
         rows = neighbours(summary, keys, rules.grid)
     else:
-        bucket_us = round(settings.bucket_days * MICROS_PER_DAY)
         rows = neighbours_bucketed(summary, keys, rules.grid, bucket_us)
     found = silences(rows, rules, keys)
     if picked is not None:
@@ -231,7 +232,7 @@ def create_gaps(
 ) -> DataFrame:
     """Gap records from filled silences, and from open gaps that close."""
     keys = list(settings.keys)
-    fields = [c for c in tracks.columns if c not in ("_us", "ssvid")]
+    fields = [c for c in tracks.columns if c not in ("_us", "ssvid", MESSAGE_DAY)]
     base: list[str] = []
     closes = "false"
     if picked is not None:

@@ -13,9 +13,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hushtrack.functions.time import within
 from hushtrack.operators.joins import Limits, slot_ranges
 from hushtrack.operators.slots import COUNTS, Rules, quoted
-from hushtrack.schemas import RECEIVER_TYPES, TIE_BREAK
+from hushtrack.schemas import MESSAGE_DAY, RECEIVER_TYPES, TIE_BREAK
 from hushtrack.storage import fresh_path
 
 # What a request is for, as a byte: messages to count, or a whole message to fetch.
@@ -72,7 +73,7 @@ def fill(
     ``is_first`` for rows that only carry the first message of the range (in ``on``).
     """
     ties = [c for c in TIE_BREAK if c in messages.columns]
-    payload = ties + [c for c in messages.columns if c not in ("_us", *ties)]
+    payload = ties + [c for c in messages.columns if c not in ("_us", MESSAGE_DAY, *ties)]
     wanted = requests(found, rules, keys)
     ranges = slot_ranges(wanted, keys, limits)
 
@@ -86,9 +87,7 @@ def fill(
     path = fresh_path(messages.sparkSession, "answers")
     for r in ranges:
         low, high = rules.grid.start(r.first), rules.grid.start(r.last + 1)
-        near = messages.where(
-            (F.col("timestamp") >= F.timestamp_micros(F.lit(low))) & (F.col("timestamp") < F.timestamp_micros(F.lit(high)))
-        )
+        near = messages.where(within(messages, "timestamp", low, high))
         answers(wanted.where(r.where(keys)), near).write.mode("append").parquet(path)
     return _records(messages.sparkSession.read.parquet(path), keys)
 

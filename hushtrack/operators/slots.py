@@ -92,6 +92,36 @@ class Rules:
         return Grid.of(self.threshold_us, self.look_back_us, self.range_start_us or 0)
 
 
+# Fixed value: no window of a track is longer, whatever the range or the setting.
+MOST_WINDOW_DAYS = 180
+# Rows that one window partition may hold before tracks are split by time without being asked to.
+WINDOW_SLOTS = 1_000_000
+
+
+def window_us(tracks: DataFrame, keys: Sequence[str], rules: Rules, bucket_days: float | None) -> int | None:
+    """Length of the time buckets that tracks are split into; none if whole tracks do.
+
+    A given length counts up to 180 days. Otherwise it is that of the range, again up to 180 days, so a
+    range no longer than that leaves tracks whole. Where slots are so narrow that a track could have more
+    than ``WINDOW_SLOTS`` of them in a window, the messages of the largest track are counted and the
+    window is cut until that many fit on average.
+    """
+    longest = MOST_WINDOW_DAYS * MICROS_PER_DAY
+    if bucket_days is not None:
+        return min(round(bucket_days * MICROS_PER_DAY), longest)
+    span = None
+    if rules.range_start_us is not None and rules.earliest_off_us is not None:
+        span = rules.range_end_us - rules.earliest_off_us + rules.look_back_us
+    window = longest if span is not None and span > longest else None
+    if min(span or longest, longest) // rules.grid.width > WINDOW_SLOTS:
+        per_track = tracks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_us").alias("lo"), F.max("_us").alias("hi"))
+        seen = per_track.agg(F.max("n"), F.min("lo"), F.max("hi")).first()
+        if seen[0] is not None and seen[0] > WINDOW_SLOTS:
+            cut = (seen[2] - seen[1]) // -(-seen[0] // WINDOW_SLOTS)
+            window = max(min(cut, longest), 1)
+    return window
+
+
 def slot_summary(messages: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
     """One row per key and slot: first and last instant, counts by receiver type."""
     counts = ["count(1) as _n"] + [

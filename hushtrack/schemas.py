@@ -20,6 +20,9 @@ def _struct(*fields: tuple) -> T.StructType:
 # Columns a message must have, whatever else it carries.
 MANDATORY = ("ssvid", "timestamp", "lat", "lon", "receiver_type")
 
+# Column by which a table of messages is partitioned, where it is: the UTC day of the timestamp.
+MESSAGE_DAY = "message_day"
+
 # Order in which messages with the same timestamp follow each other.
 TIE_BREAK = ("msgid", "seg_id")
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hushtrack.functions import units
-from hushtrack.functions.time import as_date, instant_for
-from hushtrack.schemas import MESSAGE
+from hushtrack.functions.time import as_date, as_instant, instant_micros, micros, utc_day, within
+from hushtrack.schemas import MESSAGE, MESSAGE_DAY
 
 # JSON messages carry the time as a number of seconds or as text, so it is read as text.
 _JSON_SCHEMA = T.StructType(
@@ -53,12 +53,19 @@ def read_json_messages(
 
 def in_days(df: DataFrame, column: str, start: date | str | None, end: date | str | None) -> Column:
     """Half-open range of days on the raw timestamp column, so that it reaches the scan."""
-    condition = F.lit(True)
-    if start is not None:
-        condition = F.col(column) >= instant_for(df, column, as_date(start))
-    if end is not None:
-        condition = condition & (F.col(column) < instant_for(df, column, as_date(end)))
-    return condition
+    low, high = (None if day is None else instant_micros(as_date(day)) for day in (start, end))
+    return within(df, column, low, high)
+
+
+def write_by_day(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """Messages as Parquet files partitioned by UTC day and sorted by time within a file.
+
+    Readers of a range of time open the folders of its days alone, and skip row groups within them. A day
+    with very many messages is several files; messages without a time have a folder of their own.
+    """
+    dated = messages.withColumn(MESSAGE_DAY, utc_day(micros(as_instant(messages, "timestamp"))))
+    laid_out = dated.hint("rebalance", F.col(MESSAGE_DAY)).sortWithinPartitions(MESSAGE_DAY, "timestamp")
+    laid_out.write.mode(mode).partitionBy(MESSAGE_DAY).parquet(path)
 
 
 def of_vessels(df: DataFrame, ssvids: Sequence[str]) -> DataFrame:
@@ -111,6 +118,7 @@ def select_messages(
 
     ``ais_class`` is derived from ``type`` where that column exists. Each filter applies to any
     source that has its column. ``passthrough`` declares further columns that gaps shall carry.
+    The day of a table partitioned by day stays, so that later filters on time can use it.
     """
     chosen = messages.where(in_days(messages, "timestamp", start_date, end_date))
     chosen = of_vessels(chosen, ssvids)
@@ -128,7 +136,8 @@ def select_messages(
         *[
             (F.col(f.name) if f.name in chosen.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in (*MESSAGE, *extra_fields(passthrough, MESSAGE))
-        ]
+        ],
+        *[c for c in chosen.columns if c == MESSAGE_DAY],
     )
 
 
