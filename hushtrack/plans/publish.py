@@ -130,36 +130,59 @@ def gap_start_span(
     return (0, 0) if span[0] is None else (span[0], span[1])
 
 
+def voyage_intervals(voyages: DataFrame, span_us: tuple[int, int], bucket_days: int = 7) -> DataFrame:
+    """Voyages by the aligned intervals of time they reach into: columns _level and _node are added.
+
+    Intervals of level k are 2^k buckets wide. A voyage is stored at the level just as wide as what it
+    shares with ``span_us`` or wider, so it has at most two rows however long it lasts. A voyage without
+    a start counts from the beginning of the span; one outside the buckets of the span has no row.
+    """
+    first, last = (_bucket(F.lit(us), bucket_days) for us in span_us)
+    since = F.greatest(F.coalesce(_bucket(micros("trip_start"), bucket_days), first), first) - first
+    until = F.least(_bucket(micros("trip_end"), bucket_days), last) - first
+    more = until - since
+    level = F.when(more > 0, F.length(F.bin(more))).otherwise(F.lit(0))
+    inside = voyages.withColumns({"_since": since, "_until": until, "_level": level}).where("_since <= _until")
+    nodes = F.expr("sequence(shiftright(_since, _level), shiftright(_until, _level))")
+    return inside.withColumn("_node", F.explode(nodes)).drop("_since", "_until")
+
+
+def _bucket(us: Column, bucket_days: int) -> Column:
+    width = F.lit(bucket_days * MICROS_PER_DAY)
+    return F.floor((us - F.pmod(us, width)) / width)
+
+
 def with_voyages(
     gaps: DataFrame, voyages: DataFrame, span_us: tuple[int, int], bucket_days: int = 7
 ) -> DataFrame:
     """Add the voyages under way during each gap: started before it and ended after it.
 
-    A join on the vessel alone would compare every gap of a vessel with every voyage of it. A
-    voyage that encloses a gap covers the bucket of time in which the gap starts, so voyages are
-    spread over the buckets they share with ``span_us`` and the bucket is part of the key. A
-    voyage without a start is spread from the beginning of the span.
+    A join on the vessel alone would compare every gap of a vessel with every voyage of it, and one
+    row per bucket of a voyage grows with its length. A voyage that encloses a gap reaches into the
+    interval of its own level in which the gap starts, so a gap asks one interval of each level:
+    vessel, level and interval are the key. Only the vessel and the two instants of gaps, once each,
+    are spread over the levels; whole gaps meet the answers on those three. ``gaps`` is read twice.
     """
-    width = bucket_days * MICROS_PER_DAY
-
-    def bucket(us: Column) -> Column:
-        return F.floor((us - F.pmod(us, F.lit(width))) / F.lit(width))
-
-    gaps = gaps.withColumn("_bucket", bucket(micros("start_timestamp")))
-    first, last = (us // width for us in span_us)
-    since = F.greatest(F.coalesce(bucket(micros("trip_start")), F.lit(first)), F.lit(first))
-    until = F.least(bucket(micros("trip_end")), F.lit(last))
-    covered = F.when(since <= until, F.sequence(since, until))
-    spread = voyages.select("*", F.explode(covered).alias("_voyage_bucket"))
+    width_us = bucket_days * MICROS_PER_DAY
+    first, last = (us // width_us for us in span_us)
+    levels = max(last - first, 0).bit_length()
+    ends = ["_start_vessel_id", "start_timestamp", "end_timestamp"]
+    asked = gaps.where(F.col("end_timestamp").isNotNull()).select(*ends).distinct()
+    asked = asked.withColumn("_at", _bucket(micros("start_timestamp"), bucket_days) - F.lit(first))
+    asked = asked.withColumn("_gap_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    asked = asked.withColumn("_gap_node", F.expr("shiftright(_at, _gap_level)"))
 
-    started = F.col("trip_start").isNull() | (F.col("trip_start") < F.col("start_timestamp"))
     enclosing = (
         (F.col("_start_vessel_id") == F.col("_voyage_vessel_id"))
-        & (F.col("_bucket") == F.col("_voyage_bucket"))
-        & started
+        & (F.col("_gap_level") == F.col("_level"))
+        & (F.col("_gap_node") == F.col("_node"))
+        & (F.col("trip_start").isNull() | (F.col("trip_start") < F.col("start_timestamp")))
         & (F.col("trip_end") > F.col("end_timestamp"))
     )
-    return gaps.join(spread, enclosing, "left").drop("_bucket", "_voyage_bucket")
+    found = asked.join(voyage_intervals(voyages, span_us, bucket_days), enclosing)
+    found = found.select(*[F.col(c).alias(f"_of_{c}") for c in ends], *voyages.columns)
+    same = [F.col(c) == F.col(f"_of_{c}") for c in ends]
+    return gaps.join(found, same, "left").drop(*[f"_of_{c}" for c in ends])
 
 
 def with_port_visits(gaps: DataFrame, port_visits: DataFrame) -> DataFrame:
@@ -280,7 +303,8 @@ def enriched_gaps(
     """Gaps with everything an event needs except regions."""
     gaps = gaps_to_publish(inputs.gaps, start_date, end_date, include_open)
     segments = segments_of_vessels(inputs.segment_info, inputs.segs_activity)
-    enriched = with_vessels(gaps, segments, inputs.vessels_byyear)
+    # Read for the voyages asked for and once more for whole gaps.
+    enriched = written(with_vessels(gaps, segments, inputs.vessels_byyear), "known_gaps")
     span_us = gap_start_span(inputs.gaps, start_date, end_date)
     enriched = with_voyages(enriched, usable_voyages(inputs.voyages), span_us)
     return with_port_visits(enriched, visits(inputs.port_visits))

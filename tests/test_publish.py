@@ -136,6 +136,20 @@ def test_voyages_against_brute_force(spark):
     for days in (1, 7, 400):
         rows = [(r.n, r.trip_id) for r in publish.with_voyages(left, right, span, days).collect()]
         assert len(rows) == len(set(rows)) and set(rows) == want
+    # Repeated gaps each get their voyages.
+    twice = publish.with_voyages(left.union(left), right, span).count()
+    assert twice == 2 * len(want)
+
+
+def test_long_voyages_have_two_rows(spark):
+    """However long a voyage, and however narrow the buckets."""
+    voyages = [(f"t{n}", hours(24 * n), hours(24 * (n + length))) for n, length in enumerate([0, 1, 2, 6, 7, 8, 90, 365, 3650])]
+    voyages += [("open", None, hours(24 * 4000)), ("before", hours(-90000), hours(-80000)), ("around", hours(-900), hours(24 * 9000))]
+    df = spark.createDataFrame(voyages, "trip_id string, trip_start timestamp, trip_end timestamp")
+    span = tuple(int((hours(24 * d) - datetime(1970, 1, 1)).total_seconds()) * 10**6 for d in (0, 5000))
+    for days in (1, 7, 400):
+        got = {r.trip_id: r["count"] for r in publish.voyage_intervals(df, span, days).groupBy("trip_id").count().collect()}
+        assert set(got) == {v[0] for v in voyages} - {"before"} and max(got.values()) <= 2
 
 
 def test_regions_against_brute_force(spark):
