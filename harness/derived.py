@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hushtrack.functions.cells import cell_ids
 from hushtrack.schemas import REGION, REGION_LAYERS
-from hushtrack.storage import written
+from hushtrack.storage import fresh_path, written
 
 RECEIVER_OF_EVENT = {
     "click": "terrestrial",
@@ -24,6 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The month of events, stretched to twenty of them, passes a year end.
+YEARS_FROM, STRETCH = "2023-03-01", 20
+
+
+def over_years(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all events stretched over several months, and the tables that name their vessels."""
+    folder = fresh_path(spark, "over-years")
+    us = "unix_micros(cast(ts as timestamp))"
+    start, zero = (f"unix_micros(timestamp'{day}')" for day in (YEARS_FROM, "2024-01-01"))
+    events = table(spark, sf_dir, "events")
+    later = F.expr(f"timestamp_micros({start} + {STRETCH} * ({us} - {zero}))").cast(events.schema["ts"].dataType)
+    events.withColumn("ts", later).write.parquet(f"{folder}/events.parquet")
+    for name in ("customer", "nation"):
+        table(spark, sf_dir, name).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
 def _vessel() -> Column:
     return F.expr("concat('v', user_id, '-', day(ts) % 2)")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from hushtrack.schemas import COUNT_COLUMNS, RECEIVER_TYPES, REGION_LAYERS
 
-from harness.derived import RECEIVER_OF_EVENT, REGION_BOUNDS, REGION_HEIGHT, REGION_WIDTH
+from harness.derived import RECEIVER_OF_EVENT, REGION_BOUNDS, REGION_HEIGHT, REGION_WIDTH, STRETCH, YEARS_FROM
 
 HOUR = 3_600_000_000
 LOOK_BACK = 12 * HOUR
@@ -30,6 +30,17 @@ messages AS (
     {_VESSEL} AS vessel_id
   FROM events)"""
 
+#: The events table over several months and a year end, as ``derived.over_years`` makes it.
+STRETCHED = f"""
+stretched AS (
+  SELECT * REPLACE (make_timestamp(CAST(epoch_us(TIMESTAMP '{YEARS_FROM}') + {STRETCH} * (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) AS BIGINT)) AS ts)
+  FROM events)"""
+
+
+def over_years(*ctes: str) -> tuple[str, ...]:
+    return (STRETCHED, *[c.replace("FROM events", "FROM stretched") for c in ctes])
+
+
 SEGS = f"""
 segs_activity AS (
   SELECT {_SEG} AS seg_id, any_value(user_id) % 10 <> 0 AS good_seg2,
@@ -162,7 +173,10 @@ def _instant_text(column: str) -> str:
     )
 
 
-EVENT_ID = f"md5('gaps|' || off_id || '|' || {_instant_text('start_timestamp')} || '|' || {_instant_text('end_timestamp')})"
+EVENT_ID = (
+    f"md5('gaps|' || off_id || '|' || {_instant_text('start_timestamp')} || '|' || "
+    f"coalesce({_instant_text('end_timestamp')}, 'NULL'))"
+)
 
 
 def _nearest(place: str) -> str:
@@ -178,8 +192,19 @@ def _km(end: str, place: str) -> str:
 _DETAILS = "shipname AS {0}_name, prod_shiptype AS {0}_type, mmsi_flag AS {0}_flag"
 
 
-def enriched(gaps: str, start: str, end: str) -> str:
+def _opposite(lon: str) -> str:
+    return f"({lon} + CASE WHEN {lon} < 0 THEN 180 ELSE -180 END)"
+
+
+def enriched(gaps: str, start: str, end: str, include_open: bool = False, antimeridian_safe: bool = False) -> str:
     """What is known of each gap of a range, one lookup after the other."""
+    ended = f"end_timestamp < TIMESTAMP '{end}'"
+    if include_open:
+        ended = f"({ended} OR end_timestamp IS NULL AND start_timestamp < TIMESTAMP '{end}')"
+    lon_mean = "(start_lon + end_lon) / 2"
+    if antimeridian_safe:
+        across = f"(({_opposite('start_lon')} + {_opposite('end_lon')}) / 2)"
+        lon_mean = f"CASE WHEN abs(start_lon - end_lon) > 180 THEN {_opposite(across)} ELSE {lon_mean} END"
     ends = "".join(f"{_km(e, p)}, " for e in ("start", "end") for p in ("shore", "port"))
     return f"""
 gaps AS ({gaps}),
@@ -194,7 +219,7 @@ trips AS (
 ports AS (SELECT visit_id, event_id AS port_event_id, id AS port_id, flag AS port_flag, name AS port_name FROM visits),
 in_range AS (
   SELECT *, year(start_timestamp) AS gap_year FROM gaps
-  WHERE end_timestamp < TIMESTAMP '{end}' AND TIMESTAMP '{start}' <= start_timestamp),
+  WHERE {ended} AND TIMESTAMP '{start}' <= start_timestamp),
 of_vessels AS (
   SELECT * FROM in_range JOIN off_end USING (gap_year, start_seg_id) LEFT JOIN on_segment USING (end_seg_id)
     LEFT JOIN on_vessel USING (on_id, gap_year)),
@@ -205,7 +230,7 @@ enriched AS (
   SELECT {EVENT_ID} AS event_id, ssvid, start_timestamp AS event_start, end_timestamp AS event_end,
     off_id AS vessel_id, off_id AS vessel_1_id, on_id AS vessel_2_id, start_seg_id AS seg_id,
     start_lat AS lat_min, end_lat AS lat_max, (start_lat + end_lat) / 2 AS lat_mean,
-    start_lon AS lon_min, end_lon AS lon_max, (start_lon + end_lon) / 2 AS lon_mean,
+    start_lon AS lon_min, end_lon AS lon_max, {lon_mean} AS lon_mean,
     {ends}{_nearest('port')}, {_nearest('shore')}, duration_h, trip_id,
     off_short AS gap_start_overlapping_and_short, on_short AS gap_end_overlapping_and_short,
     off_short AND on_short AS gap_overlapping_and_short, off_id <> on_id AS is_multi_vessel_gap,

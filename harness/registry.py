@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -761,13 +762,12 @@ def s2_cells(spark, sf_dir):
     return messages.select("msgid", cell(F.col("lat"), F.col("lon")).alias("s2_cell"))
 
 
-_PUBLISHED = sql.with_cte(
-    *_ENRICHED,
-    sql.REGION_MATCHES,
-    f"listed AS (SELECT event_id, {sql.LAYER_LISTS} FROM matches GROUP BY event_id)",
-    body=f"SELECT {_BASE}, {', '.join(_INFO_FIELDS)}, {', '.join(_PORT_FIELDS.values())}, "
-    f"{', '.join(schemas.REGION_LAYERS)} FROM enriched LEFT JOIN listed USING (event_id)",
+_LISTED = f"listed AS (SELECT event_id, {sql.LAYER_LISTS} FROM matches GROUP BY event_id)"
+_PUBLISHED_ROWS = (
+    f"SELECT {_BASE}, {', '.join(_INFO_FIELDS)}, {', '.join(_PORT_FIELDS.values())}, "
+    f"{', '.join(schemas.REGION_LAYERS)} FROM enriched LEFT JOIN listed USING (event_id)"
 )
+_PUBLISHED = sql.with_cte(*_ENRICHED, sql.REGION_MATCHES, _LISTED, body=_PUBLISHED_ROWS)
 
 
 def _flat_events(events: DataFrame) -> DataFrame:
@@ -793,6 +793,79 @@ def published_events(spark, sf_dir):
     return _flat_events(publish.run_publish(spark, _inputs(spark, sf_dir), path, *_RANGE))
 
 
+# Gaps of 12 hours and more, open ones too.
+_OPEN_TOO = (
+    sql.MESSAGES,
+    sql.paired(),
+    sql.SEGS,
+    sql.PUBLISH_TABLES,
+    sql.enriched(
+        f"{sql.closed(12)} UNION ALL {sql.still_open(12, LAST, sql.since(FIRST, 12))}",
+        *_RANGE,
+        include_open=True,
+        antimeridian_safe=True,
+    ),
+)
+
+
+def _open_too(spark, sf_dir) -> publish.PublishInputs:
+    inputs = _inputs(spark, sf_dir)
+    still = open_gaps(_messages(spark, sf_dir), Settings(), (FIRST, LAST))
+    return replace(inputs, gaps=inputs.gaps.unionByName(still))
+
+
+@query("gap_events_open", sql.with_cte(*_OPEN_TOO, sql.REGION_MATCHES, _LISTED, body=_PUBLISHED_ROWS))
+def gap_events_open(spark, sf_dir):
+    """Open gaps are published as well; means of positions on both sides of the antimeridian lie between them."""
+    return _flat_events(publish.gap_events(_open_too(spark, sf_dir), *_RANGE, include_open=True, antimeridian_safe=True))
+
+
+@query(
+    "event_points",
+    sql.with_cte(
+        *_OPEN_TOO,
+        body="SELECT DISTINCT event_id, lon_min AS start_lon, lat_min AS start_lat, lon_max AS end_lon, lat_max AS end_lat, "
+        "lon_mean, lat_mean FROM enriched",
+    ),
+)
+def event_points(spark, sf_dir):
+    """Positions of each event, once each."""
+    gaps = publish.enriched_gaps(_open_too(spark, sf_dir), *_RANGE, include_open=True)
+    points = publish.event_points(publish.base_events(gaps, antimeridian_safe=True))
+    return points.select("event_id", *[F.col(f"{at}.{c}").alias(f"{at}_{c}") for at in ("start", "end") for c in ("lon", "lat")],
+                         F.col("mean.lon").alias("lon_mean"), F.col("mean.lat").alias("lat_mean"))
+
+
+# Start, end and threshold (10 days) for the events stretched over a year end.
+_YEARS, _YEARS_H = (derived.YEARS_FROM, "2024-11-01"), 240
+
+
+@query(
+    "event_base_years",
+    sql.with_cte(
+        *sql.over_years(sql.MESSAGES),
+        sql.paired(),
+        *sql.over_years(sql.SEGS, sql.PUBLISH_TABLES)[1:],
+        sql.enriched(sql.closed(_YEARS_H), *_YEARS),
+        body=f"SELECT {_BASE}, {', '.join(_INFO_FIELDS)}, {', '.join(_PORT_FIELDS.values())} FROM enriched",
+    ),
+)
+def event_base_years(spark, sf_dir):
+    """Vessels known in one year only, gaps over the end of it, voyages of many months."""
+    folder = derived.over_years(spark, sf_dir)
+    gaps = written(detect_gaps(_messages(spark, folder), Settings(threshold_h=_YEARS_H)), "gaps")
+    inputs = publish.PublishInputs(
+        gaps=gaps,
+        segment_info=derived.segment_info(spark, folder),
+        segs_activity=derived.segs_activity(spark, folder),
+        voyages=derived.voyages(spark, folder),
+        port_visits=derived.port_visits(spark, folder),
+        regions=spark.createDataFrame([], schemas.REGION),
+        vessels_byyear=derived.vessels_byyear(spark, folder),
+    )
+    return _info_columns(publish.base_events(publish.enriched_gaps(inputs, *_YEARS)))
+
+
 # ------------------------------------------------------------------ reports
 
 _REPORT = (sql.MESSAGES, sql.paired(), f"gaps AS ({sql.closed(6)})")
@@ -831,6 +904,20 @@ def gaps_per_month_diff(spark, sf_dir):
     return reports.monthly_difference(_report_gaps(spark, sf_dir, good=True), _report_gaps(spark, sf_dir))
 
 
+@query(
+    "gaps_per_month_years",
+    sql.with_cte(
+        *sql.over_years(sql.MESSAGES),
+        sql.paired(),
+        f"gaps AS ({sql.closed(_YEARS_H)})",
+        body="SELECT strftime(start_timestamp, '%Y-%m-01') AS month, count(*) AS gaps FROM gaps GROUP BY 1",
+    ),
+)
+def gaps_per_month_years(spark, sf_dir):
+    messages = _messages(spark, derived.over_years(spark, sf_dir))
+    return reports.gaps_per_month(detect_gaps(messages, Settings(threshold_h=_YEARS_H)))
+
+
 def _with_flags(spark, sf_dir) -> DataFrame:
     owner = derived.table(spark, sf_dir, "customer").join(
         derived.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")

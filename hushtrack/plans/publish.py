@@ -281,6 +281,16 @@ def event_regions(events: DataFrame, regions: DataFrame) -> DataFrame:
     return regions_by_layer(points_in_regions(located, regions, "event_id"), "event_id")
 
 
+def event_points(events: DataFrame) -> DataFrame:
+    """Positions of each event as points: event_id, start, end and mean, each with lon and lat.
+
+    One row per event, however many voyages it lies in; an unknown coordinate is null in its point.
+    """
+    at = {"start": ("lon_min", "lat_min"), "end": ("lon_max", "lat_max"), "mean": ("lon_mean", "lat_mean")}
+    points = [units.lon_lat(F.col(lon), F.col(lat)).alias(name) for name, (lon, lat) in at.items()]
+    return events.select("event_id", *points).distinct()
+
+
 @dataclass(frozen=True)
 class PublishInputs:
     """Tables the events are built from."""
