@@ -50,6 +50,25 @@ STEPS = 1000
 _SPAN = "array<struct<start:int,kind:int,end:int,found:string>>"
 
 
+def running_sums(values: Column) -> Column:
+    """Sums of the first 1, 2, … entries: each round adds what stands 1, 2, 4, … entries before.
+
+    A step per entry that appends to an array would copy it at every entry.
+    """
+
+    def add(sums: Column, step: Column) -> Column:
+        before = F.concat(F.array_repeat(F.lit(0), step), F.slice(sums, F.lit(1), F.size(sums) - step))
+        return F.zip_with(sums, before, lambda a, b: a + b)
+
+    rounds = F.length(F.bin(F.size(values).cast("long")))
+    # Powers of two below the number of entries.
+    steps = F.filter(
+        F.transform(F.sequence(F.lit(0), rounds), lambda k: F.call_function("shiftleft", F.lit(1), k)),
+        lambda step: step < F.size(values),
+    )
+    return F.aggregate(steps, values, add)
+
+
 def found(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
     """Leftmost non-overlapping matches whose group is long enough, in code points."""
     between = F.split(text, pattern, -1)
@@ -58,16 +77,24 @@ def found(text: Column, pattern: str, kind: int, group: int, least: int) -> Colu
     rows = F.arrays_zip(between.alias("gap"), matches.alias("hit"), groups.alias("held"))
     none = F.expr("array()").cast(_SPAN)
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.length(row["gap"])
-        end = start + F.coalesce(F.length(row["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), row["hit"].alias("found"))
-        long_enough = F.length(row["held"]) >= least
-        spans = F.when(long_enough, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(rows, start, step, lambda s: s["spans"])).otherwise(none)
+    def spans(rows: Column) -> Column:
+        sizes = F.transform(rows, lambda r: F.length(r["gap"]) + F.coalesce(F.length(r["hit"]), F.lit(0)))
+        ended = F.transform(F.array(sizes), running_sums)[0]
+        placed = F.zip_with(rows, ended, lambda r, end: F.struct(r.alias("row"), end.alias("end")))
+        kept = F.filter(placed, lambda p: F.length(p["row"]["held"]) >= least)
+        return F.transform(
+            kept,
+            lambda p: F.struct(
+                (p["end"] - F.length(p["row"]["hit"])).alias("start"),
+                F.lit(kind).alias("kind"),
+                p["end"].alias("end"),
+                p["row"]["hit"].alias("found"),
+            ),
+        )
+
+    # An array of one entry gives its content a name, so that the text is searched once.
+    named = F.transform(F.array(rows), spans)[0]
+    return F.when(F.rlike(text, F.lit(pattern)), named).otherwise(none)
 
 
 def _p_two_sided(z: Column) -> Column:
@@ -147,7 +174,7 @@ def _listed(spans: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans.
+    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     spans lists kind:start:end by start, then kind (assign, access, hex, random), joined by commas;
     code points, end exclusive; base_sha256 is the digest of the list without kind random. A null
@@ -185,7 +212,7 @@ def secret_spans(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.size(extra).cast("long").alias("n_random"),
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.concat("base", extra)).alias("spans"),
+        F.size(extra).cast("long").alias("n_random"),
     )

@@ -53,6 +53,26 @@ def test_spans(spark, messy, messy_rows, nothing):
     assert secret_spans(nothing).count() == 0
 
 
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    from hushtrack.llm.secret_scan import running_sums
+
+    rng = random.Random(2)
+    rows = [([rng.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 7, 8, 9, 31, 32, 33, 1000)]
+    for r in spark.createDataFrame(rows, "v array<int>").select("v", running_sums(F.col("v")).alias("s")).collect():
+        assert r.s == [sum(r.v[: k + 1]) for k in range(len(r.v))]
+
+
+def test_very_many_matches_in_one_text(spark):
+    """100,000 matches: work does not grow with their square."""
+    rng = random.Random(6)
+    text = " é ".join(f"token={rng.getrandbits(32):08x}" if k % 3 else f"{rng.getrandbits(128):032x}" for k in range(100_000))
+    r = secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    base = base_spans(text)
+    assert len(base) == 100_000 and r.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest()
+
+
 def test_battery(spark):
     """p-values of drawn runs are about even; the tests agree with plain formulas."""
     from hushtrack.llm.secret_scan import tested
