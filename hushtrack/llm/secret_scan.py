@@ -137,7 +137,9 @@ def tested(runs: DataFrame) -> DataFrame:
     # One side only: as far from random as can be.
     df = df.withColumn("p_runs", F.when(var > 0, _p_two_sided((changes + 1 - mean) / F.sqrt(var))).otherwise(F.lit(0.0)))
     average = F.aggregate("values", F.lit(0.0), lambda a, v: a + v) / F.col("n")
-    df = df.withColumn("values", F.transform("values", lambda v: v - average))
+    # The average by name: inside the inner function it would be summed anew for every entry.
+    centred = F.transform(F.array(average), lambda mean: F.transform("values", lambda v: v - mean))[0]
+    df = df.withColumn("values", centred)
     spread = F.aggregate("values", F.lit(0.0), lambda a, v: a + v * v)
     after = F.slice("values", F.lit(2), (F.col("n") - 1).cast("int"))
     before = F.slice("values", F.lit(1), (F.col("n") - 1).cast("int"))

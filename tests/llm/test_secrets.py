@@ -3,7 +3,7 @@ import math
 import random
 import re
 
-from hushtrack.llm.secret_scan import KINDS, secret_spans
+from hushtrack.llm.secret_scan import KINDS, secret_spans, tested
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
@@ -73,10 +73,22 @@ def test_very_many_matches_in_one_text(spark):
     assert len(base) == 100_000 and r.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest()
 
 
+def test_very_long_run(spark):
+    """One run of 400,000 characters: work does not grow with the square of its length."""
+    rng = random.Random(7)
+    run = "".join(rng.choice("0123456789abcdef") for _ in range(400_000))
+    r = secret_spans(spark.createDataFrame([(1, f"x {run} y")], "doc_id long, text string")).collect()[0]
+    assert r.spans.startswith("hex:2:400002") and r.n_hex == 1
+    # Whether one draw is taken for random is up to chance; its p-value is not.
+    got = tested(spark.createDataFrame([(run,)], "found string")).collect()[0]
+    v = [int(c, 16) for c in run]
+    n, m = len(v), sum(v) / len(v)
+    serial = sum((a - m) * (b - m) for a, b in zip(v, v[1:])) / sum((a - m) ** 2 for a in v)
+    assert abs(got.p_serial - math.erfc(abs(serial + 1 / n) * math.sqrt(n / 2))) < 1e-5
+
+
 def test_battery(spark):
     """p-values of drawn runs are about even; the tests agree with plain formulas."""
-    from hushtrack.llm.secret_scan import tested
-
     rng = random.Random(9)
     runs = ["".join(rng.choice("0123456789abcdef") for _ in range(64)) for _ in range(400)]
     got = tested(spark.createDataFrame([(r,) for r in runs], "found string")).collect()
