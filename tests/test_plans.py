@@ -2,6 +2,7 @@
 
 import os
 import re
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -97,6 +98,24 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     assert any(n.startswith("silences-") for n in set(os.listdir(folder)) - before)
 
 
+def test_a_mounted_shared_folder_serves_a_cluster(spark, monkeypatch):
+    folder = spark.conf.get(storage.CHECKPOINT_CONF)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    assert storage.shared_folder(spark) == folder
+    gaps = detect_gaps(frame(spark, [message("2024-01-01 00:00"), message("2024-01-03 00:00")]))
+    assert gaps.count() == 1
+
+
+def test_a_folder_given_to_the_context_is_the_shared_one(tmp_path):
+    conf = SimpleNamespace(get=lambda key, default: default)
+    for master in ("local[4]", "spark://elsewhere:7077"):
+        context = SimpleNamespace(master=master, applicationId="x", getCheckpointDir=lambda: str(tmp_path))
+        assert storage.shared_folder(SimpleNamespace(conf=conf, sparkContext=context)) == str(tmp_path)
+    nowhere = SimpleNamespace(master="spark://elsewhere:7077", applicationId="x", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(SimpleNamespace(conf=conf, sparkContext=nowhere))
+
+
 def test_jobs_want_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Lima")
     try:
