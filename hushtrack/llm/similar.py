@@ -1,13 +1,14 @@
 """Near copies by the likeness of their texts (the near-duplicate stage of the pipeline).
 
 Two documents are linked if the Jaccard similarity of their sets of five-word shingles is at least
-0.8. No tree over fingerprints prunes the distances such pairs have, so candidates come from a prefix
-filter, which loses none: put the shingles of every set in one order; sets that are similar enough then
+0.8. Candidates come from SimHash fingerprints of the sets, searched with the vantage-point trees of
+operator 4 at its radius; whole sets confirm them. No tree prunes the larger distances that fingerprints
+of less alike sets have, so the rest comes from a prefix filter, which loses none: put the shingles of every set in one order; sets that are similar enough then
 share one of the first n - ceil(0.8 n) + 1 of their n shingles. The order starts with the shingles
 that are rare in a bounded sample, so passages that many documents share are hardly ever among the
 first; the sample decides only how many candidates there are, the result is the same for any.
 
-Candidates are compared shingle by shingle. First each document meets the smallest and the largest
+Candidates are compared shingle by shingle. First what the trees found is compared, and each document meets the smallest and the largest
 member of its groups; a group of copies is one component then and needs no more pairs. What is
 left in different components meets pair by pair.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hushtrack.llm.common import Scratch, lowest_per_component, shared, text_of
-from hushtrack.llm.neighbours import first_of_components
+from hushtrack.llm.neighbours import RADIUS, first_of_components, near_links
 
 SHINGLE_WORDS = 5
 #: Least similarity of linked texts, as a fraction.
@@ -37,6 +38,8 @@ ROWS = 200_000
 SKETCH_BITS = 1024
 #: Nodes whose sets are compared that are broadcast at once, at most.
 BROADCAST_NODES = 1 << 20
+#: Nodes of one fingerprint that are exchanged together, at most; those of others meet it where they lie.
+SAME_PRINT = 4_096
 _SEED = 42
 
 
@@ -73,21 +76,50 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(bool))
 
 
+def simhash(hashes: np.ndarray) -> int:
+    """64-bit SimHash of a set as a signed number: the bits that over half of its shingles have."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 65_536):
+        part = hashes[k : k + 65_536].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def nodes_of(docs: DataFrame) -> DataFrame:
-    """doc_id, node, n (size of the set) and sketch, one row per row of ``docs``."""
+    """doc_id, node, n (size of the set), bits (its SimHash) and sketch, one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, sketches = [], [], []
+            nodes, sizes, prints, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_set(text)
                 nodes.append(_node(hashes))
                 sizes.append(len(hashes))
+                prints.append(simhash(hashes))
                 sketches.append(sketch(hashes).tobytes())
-            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "node", "n", "sketch"])
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "node", "n", "bits", "sketch"])
+
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, node long, n long, bits long, sketch binary")
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, node long, n long, sketch binary")
+
+def near_prints(nodes: DataFrame, keep: Scratch, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of nodes that connect all whose fingerprints differ in at most radius bits.
+
+    Vantage-point trees link the distinct fingerprints; each is stood for by its smallest node, which the
+    other nodes of that fingerprint are paired with.
+    """
+    prints = nodes.groupBy("bits").agg(F.min("node").alias("first"), F.count_distinct("node").alias("size"))
+    prints = keep(prints, "prints")
+    ends = [prints.select(F.col("bits").alias(x), F.col("first").alias(f"first_{x}")) for x in "ab"]
+    links = near_links(prints.select("bits"), radius)
+    across = links.join(ends[0], "a").join(ends[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    several = prints.where("size > 1").select("bits", "first", "size")
+    many = several.where(F.col("size") > SAME_PRINT).select("bits", "first")
+    told = nodes.select("node", "bits").join(F.broadcast(many), "bits", "left")  # few: each stands for over 4,096 nodes
+    few = told.where("first is null").drop("first").join(several.where(F.col("size") <= SAME_PRINT), "bits")
+    same = [rows.select(F.col("first").alias("a"), F.col("node").alias("b")).where("a <> b") for rows in (told.where("first is not null"), few)]
+    return reduce(DataFrame.union, [across, *same])
 
 
 def _not_too_far(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -231,7 +263,7 @@ def _shared_shingles(rows: DataFrame) -> DataFrame:
 def similar_links(docs: DataFrame, nodes: DataFrame, keep: Scratch, sample: int = SAMPLE) -> DataFrame:
     """Links (a, b) between nodes; their components are those of all pairs that are similar enough.
 
-    Rows of prefixes are exchanged once: the nodes of each shingle are summed up, and met, where the
+    Nodes that the trees find near are paired. Rows of prefixes are exchanged once: the nodes of each shingle are summed up, and met, where the
     rows lie then. Shingles of one node alone, most of them, go no further. Of those who share a shingle
     the one that shares most of its own is likely to be what the others were made from: it, the
     smallest and the largest are compared with all others first.
@@ -248,7 +280,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, keep: Scratch, sample: int
         met.where(_could_be(F.col("place"), F.col(f"{end}_place"))).select(F.col("node").alias("a"), F.col(end).alias("b")).where("a <> b")
         for end in ("lo", "mid", "hi")
     ]
-    stars = reduce(DataFrame.union, stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    stars = reduce(DataFrame.union, [near_prints(nodes, keep), *stars]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = _confirmed(stars, docs, nodes, keep)
     roots = keep(lowest_per_component(links), "star-roots")
     left = met.select("shingle", "node", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

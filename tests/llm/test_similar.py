@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from hushtrack.llm import similar
 
@@ -73,3 +75,42 @@ def test_messy_rows(messy, messy_rows, nothing):
     assert kept.columns == messy.columns
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == slow_kept([r[:2] for r in messy_rows])
     assert similar.one_of_each(nothing).count() == 0
+
+
+def test_near_fingerprints_are_paired_by_the_trees(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(200)) for _ in range(12)]
+    texts += [edited(rng, t, k % 3) for k in range(6) for t in texts[:12]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {similar._node(h): h for h in map(similar.shingle_set, texts)}
+    prints = {np.uint64(node).astype(np.int64).item(): similar.simhash(h) for node, h in sets.items()}
+
+    def components(links):
+        root = {n: n for n in prints}
+        for a, b in links:
+            old, new = root[b], root[a]
+            root = {n: new if r == old else r for n, r in root.items()}
+        groups = {}
+        for n, r in root.items():
+            groups.setdefault(r, set()).add(n)
+        return sorted(map(sorted, groups.values()))
+
+    near = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count() <= 3
+    want = components((a, b) for a in prints for b in prints if near(prints[a], prints[b]))
+    assert len(want) < len(prints)
+    for most in (similar.SAME_PRINT, 0):  # fingerprints of many nodes, and of few
+        monkeypatch.setattr(similar, "SAME_PRINT", most)
+        with similar.Scratch(spark) as keep:
+            pairs = similar.near_prints(keep(similar.nodes_of(docs), "nodes"), keep).collect()
+        assert components((r.a, r.b) for r in pairs) == want
+
+
+def test_stage_takes_what_the_trees_find(spark, monkeypatch):
+    rng = random.Random(6)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(1500))
+    texts = [base, edited(rng, base, 1), edited(rng, base, 2), "quite another text of some words"]
+    assert bin((similar.simhash(similar.shingle_set(texts[0])) ^ similar.simhash(similar.shingle_set(texts[1]))) & (1 << 64) - 1).count("1") <= 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    none = similar._prefixes
+    monkeypatch.setattr(similar, "_prefixes", lambda *a: none(*a).where("false"))  # no other candidates
+    assert 1 not in [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
