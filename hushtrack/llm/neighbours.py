@@ -4,9 +4,12 @@ Fingerprints are partitioned by their Hamming distance to vantage points: at eac
 ones within a median distance go to the inner child, the others to the outer one. By the triangle
 inequality a fingerprint within ``radius`` of a query can lie in a child only if the query's own
 distance is within ``radius`` of that child's range, so a query visits the other child too only if it
-is that close to the boundary. The top of the tree is fitted on a bounded sample and deals distinct
-fingerprints to shards; queries near boundaries are sent to every shard they overlap; inside a shard
-the same recursion goes on in memory. The result is exact for any tree: the sample only balances it.
+is that close to the boundary. Most random fingerprints are close to most boundaries, so a tree over all of them
+would send each to a number of shards that grows with the table. Distinct fingerprints are therefore dealt
+by pieces of their bits: of radius + 1 pieces of two fingerprints within radius one is equal, so each goes to radius + 1
+shards, however many there are. Each shard is searched by a tree whose top is fitted on a bounded
+sample of all and sends queries near boundaries to every leaf they overlap; in a leaf the same recursion goes
+on. The result is exact for any tree: the sample only balances it.
 
 A shard reports the links it finds as a spanning forest, not as all pairs, so a dense group of
 near-copies costs as many rows as it has members.
@@ -29,8 +32,10 @@ SHINGLE_WORDS = 3
 RADIUS = 3
 #: Fingerprints that the top of the tree is fitted on, at most.
 SAMPLE = 65_536
-#: Fingerprints in a shard, and queries in a block of a shard, on average.
+#: Fingerprints in a shard, on average.
 SHARD = 4_096
+#: Levels of the tree that are fitted on the sample.
+TOP = 4
 #: In memory, a node of so few fingerprints is compared one by one.
 LEAF = 48
 _SEED = 42
@@ -171,60 +176,48 @@ def near_links(prints: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, sh
     share = min(1.0, 1.2 * sample / max(n, 1))
     picked = prints.where(F.abs(F.hash("bits").cast("long")) < share * 2**31).limit(sample).toPandas()["bits"]
     points = np.sort(picked.to_numpy(np.int64)).view(np.uint64)
-    depth = max(0, int(np.ceil(np.log2(max(n, 1) / shard))))
-    depth = min(depth, max(0, int(np.log2(max(len(points), 1) / 4)))) if len(points) else 0
+    depth = min(TOP, max(0, int(np.log2(max(len(points), 1) / 4)))) if len(points) else 0
     tree = spark.sparkContext.broadcast(fit_tree(points, depth))
-    columns = "leaf long, bits long, asks boolean"
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = batch.column("bits").to_numpy()
-            for k in range(0, len(bits), 512):
-                part = bits[k : k + 512].view(np.uint64)
-                own, home = _deal(part, tree.value, depth, 0)
-                index, leaf = _deal(part, tree.value, depth, radius)
-                mine = np.empty(len(part), np.int64)
-                mine[own] = home
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf), pa.array(bits[k : k + 512][index]), pa.array(leaf != mine[index])],
-                    ["leaf", "bits", "asks"],
-                )
-
-    dealt = prints.select("bits").mapInArrow(deal, columns)
-    # Each pair across a boundary is found from either side: the larger fingerprint asks. A shard
-    # with more members or guests than planned is cut in blocks, each pair of which is one task group.
-    sizes = shared(
-        dealt.groupBy("leaf").agg(
-            F.sum(F.when(F.col("asks"), 0).otherwise(1)).alias("members"),
-            F.count(F.lit(1)).alias("queries"),
-        ),
-        "shards",
-    )
+    # Of radius + 1 pieces of near fingerprints one is equal: they meet in the shard that it falls in.
+    edges = [64 * k // (radius + 1) for k in range(radius + 2)]
+    shards = max(1, -(-n // shard))
+    piece = [F.shiftrightunsigned("bits", lo).bitwiseAND(F.lit((1 << min(hi - lo, 63)) - 1)) for lo, hi in zip(edges, edges[1:])]
+    leaves = [F.pmod(F.xxhash64(p), F.lit(shards)) + F.lit(k * shards) for k, p in enumerate(piece)]
+    dealt = prints.select("bits", F.explode(F.array(*leaves)).alias("leaf"))
+    # A shard with more fingerprints than planned is cut in blocks, each pair of which is one task group.
+    sizes = shared(dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")), "shards")
     blocks = sizes.select(
         "leaf",
-        F.ceil(F.col("members") / (4.0 * shard)).cast("int").alias("mb"),
-        F.ceil(F.col("queries") / (32.0 * shard)).cast("int").alias("qb"),
-    ).where("mb > 0")
-    dealt = dealt.join(blocks, "leaf")
+        F.ceil(F.col("size") / (4.0 * shard)).cast("int").alias("mb"),
+        F.ceil(F.col("size") / (32.0 * shard)).cast("int").alias("qb"),
+    ).where("mb > 1")
+    dealt = dealt.join(F.broadcast(blocks), "leaf", "left")  # few: each has over four times its share
+    whole = dealt.where("mb is null").select("leaf", "bits", F.lit(0).alias("m"), F.lit(0).alias("q"), F.lit(None).cast("boolean").alias("asks"))
+    heavy = dealt.where("mb is not null")
     spread = F.pmod(F.xxhash64("bits"), F.lit(1 << 30)).cast("int")
-    asks = dealt.select(
+    asks = heavy.select(
         "leaf", "bits", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"), (spread % F.col("qb")).alias("q"), F.lit(True).alias("asks")
     )
-    answers = dealt.where("not asks").select(
+    answers = heavy.select(
         "leaf", "bits", (spread % F.col("mb")).alias("m"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("q"), F.lit(False).alias("asks")
     )
 
     def find(table):
         bits = table.column("bits").to_numpy()
-        asking = table.column("asks").to_numpy(zero_copy_only=False)
+        asking = table.column("asks").to_pandas()
         values, index = np.unique(bits, return_inverse=True)
-        index = index.reshape(-1)
+        index, near = index.reshape(-1), values.view(np.uint64)
         forest = Forest(len(values))
-        _search(values.view(np.uint64), np.unique(index[~asking]), np.unique(index[asking]), radius, forest)
+        members, queries = (np.unique(index[(asking != other).to_numpy(bool)]) for other in (True, False))
+        own, home = _deal(near[members], tree.value, depth, 0)
+        at, leaf = _deal(near[queries], tree.value, depth, radius)
+        for k in range(1 << depth):
+            _search(near, members[own[home == k]], queries[at[leaf == k]], radius, forest)
         child = np.flatnonzero(forest.up != np.arange(len(values)))
         return pa.table({"a": values[child], "b": values[forest.roots(child)]})
 
-    return answers.unionByName(asks).groupBy("leaf", "m", "q").applyInArrow(find, "a long, b long")
+    rows = whole.unionByName(answers).unionByName(asks)
+    return rows.groupBy("leaf", "m", "q").applyInArrow(find, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_WORDS, **options) -> DataFrame:

@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from hushtrack.llm.common import lowest_per_component
+from hushtrack.llm import neighbours
+from hushtrack.llm.common import lowest_per_component, shared
 from hushtrack.llm.neighbours import fingerprint, near_duplicates, near_links, one_of_each
 
 
@@ -72,6 +74,18 @@ def test_dense_groups_and_small_shards(spark):
         assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(root))
 
 
+def test_rows_dealt_grow_with_the_table(spark, monkeypatch):
+    """Each fingerprint goes to four shards, however many there are."""
+    dealt = []
+    monkeypatch.setattr(neighbours, "shared", lambda df, name: dealt.append((name, kept := shared(df, name))) or kept)
+    rng = random.Random(4)
+    for n in (400, 2000):
+        table = spark.createDataFrame([(rng.getrandbits(64) - (1 << 63),) for _ in range(n)], "bits long")
+        near_links(table, 3, shard=16).collect()
+    sums = [df.select([F.sum(c) for c in df.columns if c != "leaf"]).first() for name, df in dealt if name == "shards"]
+    assert [max(r) / n for r, n in zip(sums, (400, 2000))] == [4, 4]
+
+
 def test_empty(nothing):
     assert near_duplicates(nothing).count() == 0
     assert one_of_each(nothing).count() == 0
