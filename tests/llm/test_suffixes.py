@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from hushtrack.llm import suffixes
 from hushtrack.llm.loser_tree import merge, prefixes
 from hushtrack.llm.suffixes import GRAM, LENGTH, anchors, front_coded, front_decoded, without_repeats
 
@@ -78,3 +79,16 @@ def test_every_string_has_one_anchor_inside(text):
     starts = [s for a, b in zip(lo, hi) for s in range(a, b + 1)]
     assert starts == list(range(len(text) - LENGTH + 1))
     assert all(b <= a and a + GRAM <= lo_ + LENGTH for a, lo_, b in zip(at, lo, hi))
+
+
+def test_only_keys_of_equal_first_words_are_sorted_by_all_words(monkeypatch):
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 100, 5_000, dtype=np.uint8)
+    at = rng.integers(0, len(raw) - suffixes.GRAM + 1, 20_000)
+    words = suffixes._words(raw, at)
+    assert words[0, 0].item().to_bytes(8) + words[3, 0].item().to_bytes(8) == raw[at[0] :][:8].tobytes() + raw[at[0] + 24 :][:4].tobytes() + bytes(4)
+    assert (suffixes._in_order(words) == np.lexsort(words[::-1])).all()
+    apart = np.stack([rng.permutation(1_000).astype(np.uint64)] * 4)
+    lexsort, sizes = np.lexsort, []
+    monkeypatch.setattr(np, "lexsort", lambda keys: sizes.append(np.shape(keys)[1]) or lexsort(keys))
+    assert (suffixes._in_order(apart) == np.argsort(apart[0])).all() and sizes == [0]
