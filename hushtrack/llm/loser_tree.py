@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_LANES = 1024
+_LANES = 4096
 _FAN_IN = 256
 
 
@@ -91,10 +91,12 @@ def _compare(words, length, la, pa, lb, pb):
     if len(tie):
         i, j = pa[tie], pb[tie]
         k = la[tie].astype(np.int64) >> 3
+        flat, n = words.reshape(-1), words.shape[1]
         left = np.arange(len(tie))
         result, where = np.ones(len(tie), bool), np.full(len(tie), length, np.int16)
         while len(left):
-            x, y = words[k[left], i[left]], words[k[left], j[left]]
+            row = k[left] * n
+            x, y = flat.take(row + i[left]), flat.take(row + j[left])
             differ = x != y
             d = left[differ]
             result[d] = x[differ] < y[differ]
@@ -107,6 +109,7 @@ def _compare(words, length, la, pa, lb, pb):
 
 
 def _merge_some(words, lcp, starts, length):
+    words = np.ascontiguousarray(words)
     total, runs = words.shape[1], len(starts) - 1
     size = 1 << max(1, (runs - 1).bit_length())
     lanes = max(1, min(_LANES, total // 64, (4 << 20) // size))
@@ -137,24 +140,30 @@ def _merge_some(words, lcp, starts, length):
         who, share = np.where(first, a, b).reshape(lanes, width), np.where(first, la, lb).reshape(lanes, width)
     win, win_share = who[:, 0], share[:, 0]
     live = np.flatnonzero(win_share >= 0)
+    # Places in the trees are counted over all lanes from here on.
+    at, end, loser, loser_share = (x.reshape(-1) for x in (at, end, loser, loser_share))
     while len(live):
-        w, place = win[live], at[live, win[live]]
+        row, w = live * size, win[live]
+        leaf = row + w
+        place = at.take(leaf)
         order[out_at[live]], common[out_at[live]] = place, win_share[live]
         out_at[live] += 1
-        place = place + 1
-        at[live, w] = place
-        more = place < end[live, w]
+        place += 1
+        at[leaf] = place
+        more = place < end.take(leaf)
         share_now = np.full(len(live), -1, np.int16)
         share_now[more] = lcp[place[more]]
         node = (w + size) >> 1
         while True:
-            other, other_share = loser[live, node], loser_share[live, node]
-            first, both = _compare(words, length, share_now, place, other_share, at[live, other])
-            loser[live, node] = np.where(first, other, w)
-            loser_share[live, node] = both
+            spot = row + node
+            other, other_share = loser.take(spot), loser_share.take(spot)
+            other_place = at.take(row + other)
+            first, both = _compare(words, length, share_now, place, other_share, other_place)
+            loser[spot] = np.where(first, other, w)
+            loser_share[spot] = both
             w = np.where(first, w, other)
             share_now = np.where(first, share_now, other_share)
-            place = at[live, w]
+            place = np.where(first, place, other_place)
             node = node >> 1
             if node[0] == 0:
                 break

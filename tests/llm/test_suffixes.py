@@ -50,6 +50,26 @@ def test_empty(nothing):
     assert without_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("runs", [2, 5, 300])
+def test_merge_in_many_lanes(runs):
+    rng = np.random.default_rng(runs)
+    keys = np.zeros((20_000, 32), np.uint8)
+    keys[:, :GRAM] = rng.integers(0, 3, (20_000, GRAM)) * (rng.random((20_000, GRAM)) < 0.2)
+    keys[::7] = keys[0]
+    words = np.ascontiguousarray(keys).view(">u8").astype(np.uint64).T
+    owner = rng.integers(0, runs, len(keys))
+    parts = []
+    for r in range(runs):
+        own = words[:, owner == r]
+        parts.append(own[:, np.lexsort(own[::-1])])
+    starts = np.concatenate(([0], np.cumsum([p.shape[1] for p in parts])))
+    order, common = merge(np.concatenate(parts, axis=1), np.concatenate([prefixes(p, GRAM) for p in parts]), starts, GRAM)
+    merged = np.concatenate(parts, axis=1)[:, order]
+    assert sorted(order.tolist()) == list(range(len(keys)))
+    assert (merged == words[:, np.lexsort(words[::-1])]).all()
+    assert (common == prefixes(merged, GRAM)).all()
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.lists(st.binary(min_size=0, max_size=4), max_size=60), min_size=1, max_size=9))
 def test_merge(runs):
