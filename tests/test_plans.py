@@ -4,11 +4,13 @@ import os
 import re
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from harness import registry
 from hushtrack import storage
 from hushtrack.operators.detect import Settings, detect_gaps, find, prepare, run_window
 from hushtrack.operators.fill import fill, requests
@@ -106,6 +108,19 @@ def test_a_mounted_shared_folder_serves_a_cluster(spark, monkeypatch):
     assert gaps.count() == 1
 
 
+def test_open_gaps_are_published_on_a_cluster(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.001"
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    events = registry.QUERIES["gap_events_open"](spark, sf_dir)
+    db = duckdb.connect()
+    for name in ("events", "customer", "nation"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    of_each = "SELECT event_id, count(*) FROM ({}) GROUP BY event_id"
+    want = db.execute(of_each.format(registry.ORACLES["gap_events_open"])).fetchall()
+    assert sorted(map(tuple, events.groupBy("event_id").count().collect())) == sorted(want)
+    assert events.where("event_end IS NULL").count() > 0
+
+
 def test_a_folder_given_to_the_context_is_the_shared_one(tmp_path):
     conf = SimpleNamespace(get=lambda key, default: default)
     for master in ("local[4]", "spark://elsewhere:7077"):
